@@ -8,6 +8,13 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 
 MODULES = {
+    "op6_url_filter": "op6_urls",
+    "op10_decontaminate": "op10_decontaminate",
+    "op5_secret_scan": "op5_secrets",
+    "op3_permutation_index": "op3_neighbours",
+    "op1_quality_rules": "op1_quality",
+    "op8_language_id": "op8_language",
+    "op2_ngram_jaccard": "op2_jaccard",
     "op7_token_counts": "op7_tokens",
     "op9_best_fit_packing": "op9_packing",
 }
