@@ -152,29 +152,45 @@ def held_out() -> F.Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
 
 
+def _predict(model: dict | None, texts: list[str | None]) -> tuple[list[str], list[float]]:
+    langs, scores = [], []
+    for text in texts:
+        at, n = ngram_counts(text)
+        if model is None or not len(at):
+            langs.append(UND)
+            scores.append(0.0)
+            continue
+        p = softmax((model["weights"][:, at] @ tf_idf(at, n, model["idf"])) / model["temperature"])
+        k = int(p.argmax())
+        langs.append(model["langs"][k])
+        scores.append(float(p[k]))
+    return langs, scores
+
+
 def identify(docs: DataFrame, model: dict | None) -> DataFrame:
     """``(doc_id, held_out, lang_pred, score)`` of all rows. The model, of bounded size, is sent
     once to each executor."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def rows(cols: dict[str, list]) -> dict[str, list]:
-        m = shared.value
-        langs, scores = [], []
-        for text in cols["text"]:
-            at, n = ngram_counts(text)
-            if m is None or not len(at):
-                langs.append(UND)
-                scores.append(0.0)
-                continue
-            p = softmax((m["weights"][:, at] @ tf_idf(at, n, m["idf"])) / m["temperature"])
-            k = int(p.argmax())
-            langs.append(m["langs"][k])
-            scores.append(float(p[k]))
+        langs, scores = _predict(shared.value, cols["text"])
         return {"doc_id": cols["doc_id"], "held_out": cols["held_out"], "lang_pred": langs, "score": scores}
 
     return map_texts(docs.select("doc_id", "text", held_out().alias("held_out")), rows, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
+def keep_identified(docs: DataFrame, model: dict | None, least: float) -> DataFrame:
+    """The rows whose language is told with at least this score, all columns unchanged."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def rows(cols: dict[str, list]) -> dict[str, list]:
+        langs, scores = _predict(shared.value, cols["text"])
+        kept = [k for k, (x, s) in enumerate(zip(langs, scores, strict=True)) if x != UND and s >= least]
+        return {name: [values[k] for k in kept] for name, values in cols.items()}
+
+    return map_texts(docs, rows, ", ".join(f"`{name}` {kind}" for name, kind in docs.dtypes))
+
+
 def training_rows(docs: DataFrame) -> DataFrame:
     return docs.where(F.crc32(F.col("doc_id").cast("string")) % 4 != 2).where("lang is not null and text is not null").select("doc_id", "text", "lang")
 

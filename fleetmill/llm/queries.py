@@ -8,6 +8,7 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 
 MODULES = {
+    "op4_license_scan": "op4_licenses",
     "op6_url_filter": "op6_urls",
     "op10_decontaminate": "op10_decontaminate",
     "op5_secret_scan": "op5_secrets",
