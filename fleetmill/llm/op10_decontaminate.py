@@ -86,11 +86,41 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
     aligned = join_small(docs, candidates, "doc_id", "inner").select("doc_id", "item_id", "n_windows", "n_found", "shift", marked_words(F.col("text")).alias("words"))
     aligned = aligned.join(item_words, "item_id")
     kind = lambda w: F.when(F.substring(w, 1, 1).between("0", "9"), NUMBER).when(F.substring(w, 1, 1) == NAME, NAME)
-    pairs = F.transform("item_words", lambda w, i: F.struct(w.alias("a"), F.get("words", i + F.col("shift")).alias("b")))
-    slots = F.filter(pairs, lambda p: p["b"].isNotNull() & kind(p["a"]).isNotNull() & (kind(p["a"]) == kind(p["b"])))
+    same = lambda i: F.coalesce(F.get("item_words", i) == F.get("words", i + F.col("shift")), F.lit(False))
+    # beyond an inserted or left-out word the alignment is off: only slots beside an equal word count
+    pairs = F.transform("item_words", lambda w, i: F.struct(w.alias("a"), F.get("words", i + F.col("shift")).alias("b"), (same(i - 1) | same(i + 1)).alias("beside")))
+    slots = F.filter(pairs, lambda p: p["beside"] & p["b"].isNotNull() & kind(p["a"]).isNotNull() & (kind(p["a"]) == kind(p["b"])))
+    slots = F.transform(slots, lambda p: F.struct(p["a"].alias("a"), p["b"].alias("b")))
     checked = aligned.withColumn("slots", slots).where(consistent(F.col("slots")))
     return checked.groupBy("doc_id", "item_id").agg(F.max("n_windows").alias("n_windows"), F.max("n_found").cast("long").alias("n_found"), F.max(F.size("slots")).cast("long").alias("n_slots"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+_WORDS = (
+    r"list_filter(regexp_split_to_array(lower(regexp_replace(regexp_replace(regexp_replace(text, '[§¤]', ' ', 'g'), '([0-9])[.,:/]([0-9])', '\1_\2', 'g'), "
+    r"'([\p{Ll},;] )(\p{Lu})', '\1§\2', 'g')), '[^\p{L}\p{M}\p{N}_§]+'), lambda x: x <> '')"
+)
+_KIND = "CASE WHEN {0}[1] BETWEEN '0' AND '9' THEN '#' WHEN {0}[1] = '§' THEN '§' END"
+ORACLE_SQL = f"""
+WITH src AS (SELECT 'd' AS k, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark),
+m AS (SELECT k, id, {_WORDS} AS w FROM src WHERE id IS NOT NULL AND text IS NOT NULL),
+f AS (SELECT k, id, w, list_transform(w, lambda x: coalesce({_KIND.format("x")}, x)) AS f FROM m),
+t AS (SELECT k, id, w, list_transform(f, lambda x, i: CASE WHEN i > 1 AND f[i - 1] = '#' AND x IN ({", ".join(f"'{u}'" for u in UNITS)}) THEN '¤' ELSE x END) AS t FROM f WHERE len(f) >= 5),
+g AS (SELECT k, id, t, unnest(range(1, len(t) - 3)) AS p FROM t),
+win AS (SELECT k, id, p, t[p:p + 4] AS x FROM g WHERE len(list_filter(t[p:p + 4], lambda y: y NOT IN ('#', '§', '¤'))) >= 3),
+total AS (SELECT id AS item_id, count(DISTINCT x) AS n_windows FROM win WHERE k = 'i' GROUP BY 1),
+hit AS (SELECT d.id AS doc_id, i.id AS item_id, d.p - i.p AS shift, d.x FROM win d JOIN win i ON d.x = i.x WHERE d.k = 'd' AND i.k = 'i'),
+cov AS (SELECT doc_id, item_id, count(DISTINCT x) AS n_found FROM hit GROUP BY 1, 2),
+best AS (SELECT doc_id, item_id, shift FROM (SELECT doc_id, item_id, shift, count(*) AS n FROM hit GROUP BY 1, 2, 3)
+  QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n DESC, shift) = 1),
+cand AS (SELECT * FROM cov JOIN best USING (doc_id, item_id) JOIN total USING (item_id) WHERE n_found >= 0.8 * n_windows),
+aligned AS (SELECT c.*, d.w AS dw, i.w AS iw, unnest(range(1, len(i.w) + 1)) AS q FROM cand c JOIN t d ON d.k = 'd' AND d.id = c.doc_id JOIN t i ON i.k = 'i' AND i.id = c.item_id),
+pair AS (SELECT *, iw[q] AS a, CASE WHEN q + shift >= 1 THEN dw[q + shift] END AS b,
+  (q > 1 AND q - 1 + shift >= 1 AND coalesce(iw[q - 1] = dw[q - 1 + shift], false)) OR (q + 1 + shift >= 1 AND coalesce(iw[q + 1] = dw[q + 1 + shift], false)) AS beside FROM aligned),
+slot AS (SELECT *, beside AND b IS NOT NULL AND coalesce({_KIND.format("a")} = {_KIND.format("b")}, false) AS is_slot FROM pair)
+SELECT doc_id, item_id, max(n_windows)::BIGINT AS n_windows, max(n_found)::BIGINT AS n_found, count(*) FILTER (is_slot)::BIGINT AS n_slots FROM slot GROUP BY 1, 2
+HAVING count(DISTINCT (a, b)) FILTER (is_slot) = count(DISTINCT a) FILTER (is_slot) AND count(DISTINCT (a, b)) FILTER (is_slot) = count(DISTINCT b) FILTER (is_slot)
+"""

@@ -1,0 +1,70 @@
+import re
+
+from llm_data import DATA
+from pyspark.sql import functions as F
+
+from fleetmill.llm import op4_licenses as lic
+from fleetmill.llm.common import read
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def brute(text):
+    """Words, base places and surviving labels of a text, by plain loops."""
+    low = (text or "").translate(LOWER)
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+    places, base = [], set()
+    for phrase, label in lic.BASE:
+        p = phrase.split()
+        for i in range(len(words) - len(p) + 1):
+            if words[i : i + len(p)] == p:
+                places.append(i)
+                base.add(label)
+    canon = " " + " ".join(words) + " "
+    found = []
+    if any(g in (text or "").lower() for g in lic.GATES) or "cc" in (text or "").lower():
+        for n, (level, label, gate, score, pattern) in enumerate(lic.rules()):
+            if any(w in canon for w in gate.split("|")):
+                for m in re.finditer(pattern, canon):
+                    start = canon[: m.start()].count(" ")
+                    found.append((start, start + m[0].count(" "), level, n, label, score))
+    kept = [d for d in found if not any(o is not d and o[0] <= d[0] and o[1] >= d[1] and (o[2] < d[2] or o[2] == d[2] and (o[1] - o[0] > d[1] - d[0] or (o[:2] == d[:2] and o[3] < d[3]))) for o in found)]
+    score = max([d[5] for d in kept] + ([0.9] if base else []), default=0.0)
+    return (len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)), ",".join(sorted(base | {d[4] for d in kept})), score)
+
+
+TEXTS = [
+    "Released under the MIT License. Licensed under the Apache License, Version 2.0!",
+    "CC BY-NC 4.0, cc by nc; cc-by-nc-sa 4.0 and CC0 1.0",
+    "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License, version 2.1",
+    "SPDX-License-Identifier: BSD-3-Clause\nSPDX-License-Identifier: GPL-2.0-or-later",
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software",
+    "the gnu general public license v3 or any later version",
+    "under the mit license under the mit license under the mit licenses",
+    "Mit der Lizenz", "license", "", None, " \n ", "été ÜNDER the mit license", "under the MIT license" + " x" * 20000 + " under the mit license",
+]
+
+
+def check(spark, rows):
+    df = spark.createDataFrame(rows, "doc_id long, text string, base string")
+    import unittest.mock as mock
+
+    with mock.patch.object(lic, "read", lambda *a: df):
+        got = {r["doc_id"]: tuple(r)[1:] for r in lic.query(spark, "").collect()}
+    for i, text, _ in rows:
+        assert got[i] == brute(text), text
+
+
+def test_equals_brute_force(spark):
+    check(spark, [(i, t, None) for i, t in enumerate(TEXTS)])
+
+
+def test_equals_brute_force_on_documents(spark):
+    docs = read(spark, DATA, "documents").where(F.lower("text").contains("licen")).limit(40)
+    check(spark, [(r["doc_id"], r["text"], "") for r in docs.collect()])
+
+
+def test_hundreds_of_rules_and_the_better_reading_wins(spark):
+    assert len(lic.rules()) > 200
+    assert brute("licensed under the gnu lesser general public license version 3")[5] == "lgpl-3"
+    assert lic.scan_licenses(spark.createDataFrame([], "doc_id long, text string")).count() == 0
