@@ -29,8 +29,12 @@ SURE = 0.5
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The scores ride with the rows, so keeping needs no join."""
-    return op8_language.keep_identified(docs, op8_language.fit(op8_language.training_rows(docs)), SURE)
+    """The scores ride with the rows, so keeping needs no join. With no language to learn, only
+    documents without a letter go."""
+    model = op8_language.fit(op8_language.training_rows(docs))
+    if model is None:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    return op8_language.keep_identified(docs, model, SURE)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
