@@ -23,6 +23,11 @@ def _share(part: str, whole: str, digits: int = 1) -> Column:
     return F.round(F.try_divide(F.sum(part).cast("double") * 100, F.sum(whole).cast("double")), digits)
 
 
+def _mean(c: str, digits: int) -> Column:
+    """A rounded mean; noise in the last digits is taken off first, so that ties round alike."""
+    return F.round(F.round(F.avg(c), 6), digits)
+
+
 BRACKETS = ["low", "medium", "high", "very_high"]
 STATUSES = ["no_service", "severely_underserved", "underserved", "normal", "over_capacity"]
 SEVERITIES = ["critical", "severe", "moderate", "regular"]
@@ -83,7 +88,7 @@ def fleet_full(fleet: DataFrame, date: str, top: int = 20) -> DataFrame:  # D8
 
 def worst_bunching(headway: DataFrame, start: str, end: str, least: int = 20, top: int = 20) -> DataFrame:  # D9
     out = headway.where(_between(start, end) & F.col("is_weekday")).groupBy("route_id", "line_code", "stop_id").agg(
-        F.sum("headway_count").alias("headways"), F.round(F.avg("headway_cv"), 3).alias("avg_cv"), F.round(F.avg("avg_headway_seconds") / 60, 1).alias("avg_headway_min")
+        F.sum("headway_count").alias("headways"), F.round(F.avg("headway_cv"), 3).alias("avg_cv"), F.round(F.round(F.avg("avg_headway_seconds") / 60, 6), 1).alias("avg_headway_min")
     )
     return out.where(F.col("headways") >= least).orderBy(F.desc("avg_cv"), "stop_id", "line_code").limit(top)
 
@@ -109,21 +114,21 @@ def headway_trend(headway: DataFrame, line_code: int, start: str, end: str) -> D
 def on_time_trend(on_time: DataFrame, start: str, end: str) -> DataFrame:  # D12
     out = on_time.where(_between(start, end)).groupBy("window_start").agg(
         _share("on_time_count", "total_arrivals").alias("on_time_pct"), _share("early_count", "total_arrivals").alias("early_pct"), _share("late_count", "total_arrivals").alias("late_pct"),
-        F.round(F.avg("avg_delay_seconds"), 1).alias("avg_delay_s"), F.sum("total_arrivals").alias("arrivals"),
+        _mean("avg_delay_seconds", 1).alias("avg_delay_s"), F.sum("total_arrivals").alias("arrivals"),
     )
     return out.orderBy("window_start")
 
 
 def on_time_worst(on_time: DataFrame, start: str, end: str, least: int = 10, top: int = 20) -> DataFrame:  # D13
     out = on_time.where(_between(start, end)).groupBy("route_id", "line_code").agg(
-        F.sum("total_arrivals").alias("arrivals"), _share("on_time_count", "total_arrivals").alias("on_time_pct"), F.round(F.avg("avg_delay_seconds"), 1).alias("avg_delay_s")
+        F.sum("total_arrivals").alias("arrivals"), _share("on_time_count", "total_arrivals").alias("on_time_pct"), _mean("avg_delay_seconds", 1).alias("avg_delay_s")
     )
     return out.where(F.col("arrivals") >= least).orderBy("on_time_pct", "route_id", "line_code").limit(top)
 
 
 def peak_compare(on_time: DataFrame, start: str, end: str) -> DataFrame:  # D14
     out = on_time.where(_between(start, end)).groupBy("time_period", "is_weekday").agg(
-        _share("on_time_count", "total_arrivals").alias("on_time_pct"), F.round(F.avg("avg_delay_seconds"), 1).alias("avg_delay_s"), F.sum("total_arrivals").alias("arrivals")
+        _share("on_time_count", "total_arrivals").alias("on_time_pct"), _mean("avg_delay_seconds", 1).alias("avg_delay_s"), F.sum("total_arrivals").alias("arrivals")
     )
     return out.orderBy("time_period", "is_weekday")
 

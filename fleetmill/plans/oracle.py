@@ -82,7 +82,7 @@ WEEK = f"_event_date BETWEEN '{FIRST}' AND '{LAST}'"
 
 QUERIES = {
     "pos_bounds": "SELECT event_id, vehicle_id, round(latitude, 6) AS latitude, round(longitude, 6) AS longitude FROM boxed",
-    "pos_enriched_left": """SELECT event_id, CAST(user_id % 30 AS INTEGER) AS line_code, route_short_name, CASE WHEN route_short_name IS NOT NULL THEN 'Line ' || route_short_name END AS route_long_name, CASE WHEN route_short_name IS NOT NULL THEN 3 END AS route_type
+    "pos_enriched_left": """SELECT event_id, CAST(user_id % 30 AS INTEGER) AS line_code, route_short_name, CASE WHEN route_short_name IS NOT NULL THEN 'Line ' || route_short_name END AS route_long_name
       FROM positions p LEFT JOIN routes r ON r.line_code = user_id % 30""",
     "pos_dedup": "SELECT vehicle_id, event_ts, min(event_id) AS event_id FROM (SELECT * FROM positions UNION ALL SELECT * FROM positions WHERE event_id % 10 = 0) GROUP BY 1, 2",
     "time_features": f"SELECT event_id, hour_of_day, is_weekday, _event_date, {PERIOD.format('hour_of_day')} AS time_period FROM featured",
@@ -104,7 +104,7 @@ QUERIES = {
     "headways": "SELECT event_id, headway_seconds FROM headways",
     "headway_hourly": """SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, stop_id, line_code, route_id, time_period, is_weekday, _event_date, headway_count, round(avg_headway_seconds, 4) AS avg_headway_seconds, round(stddev_headway_seconds, 4) AS stddev_headway_seconds,
       min_headway_seconds, max_headway_seconds, median_headway_seconds, round(headway_cv, 5) AS headway_cv, bunching_severity FROM headway_daily""",
-    "worst_bunching": f"""SELECT route_id, line_code, stop_id, CAST(sum(headway_count) AS BIGINT) AS headways, round(avg(headway_cv), 3) AS avg_cv, round(avg(avg_headway_seconds) / 60, 1) AS avg_headway_min FROM headway_daily WHERE {WEEK} AND is_weekday
+    "worst_bunching": f"""SELECT route_id, line_code, stop_id, CAST(sum(headway_count) AS BIGINT) AS headways, round(avg(headway_cv), 3) AS avg_cv, round(round(avg(avg_headway_seconds) / 60, 6), 1) AS avg_headway_min FROM headway_daily WHERE {WEEK} AND is_weekday
       GROUP BY 1, 2, 3 HAVING sum(headway_count) >= 20 ORDER BY avg_cv DESC, stop_id, line_code LIMIT 20""",
     "severity_distribution": f"SELECT bunching_severity, time_period, count(*) AS windows, count(DISTINCT line_code) AS lines, round(avg(headway_cv), 3) AS avg_cv FROM headway_daily WHERE {WEEK} GROUP BY 1, 2",
     "headway_trend_param": f"SELECT window_start, stop_id, line_code, round(avg_headway_seconds / 60, 1) AS avg_headway_min, round(headway_cv, 3) AS cv, bunching_severity FROM headway_daily WHERE line_code = 1 AND {WEEK}",
@@ -115,10 +115,10 @@ QUERIES = {
     "on_time_class": "SELECT on_time_status, count(*) AS arrivals FROM matched GROUP BY 1",
     "on_time_hourly": "SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, route_id, line_code, time_period, is_weekday, _event_date, total_arrivals, on_time_count, early_count, late_count, round(avg_delay_seconds, 4) AS avg_delay_seconds, p50_delay_seconds, p95_delay_seconds, on_time_pct FROM on_time_hourly",
     "on_time_trend": f"""SELECT window_start, round(sum(on_time_count) * 100e0 / sum(total_arrivals), 1) AS on_time_pct, round(sum(early_count) * 100e0 / sum(total_arrivals), 1) AS early_pct, round(sum(late_count) * 100e0 / sum(total_arrivals), 1) AS late_pct,
-      round(avg(avg_delay_seconds), 1) AS avg_delay_s, CAST(sum(total_arrivals) AS BIGINT) AS arrivals FROM on_time_hourly WHERE {WEEK} GROUP BY 1""",
-    "on_time_worst": f"""SELECT route_id, line_code, CAST(sum(total_arrivals) AS BIGINT) AS arrivals, round(sum(on_time_count) * 100e0 / sum(total_arrivals), 1) AS on_time_pct, round(avg(avg_delay_seconds), 1) AS avg_delay_s FROM on_time_hourly WHERE {WEEK}
+      round(round(avg(avg_delay_seconds), 6), 1) AS avg_delay_s, CAST(sum(total_arrivals) AS BIGINT) AS arrivals FROM on_time_hourly WHERE {WEEK} GROUP BY 1""",
+    "on_time_worst": f"""SELECT route_id, line_code, CAST(sum(total_arrivals) AS BIGINT) AS arrivals, round(sum(on_time_count) * 100e0 / sum(total_arrivals), 1) AS on_time_pct, round(round(avg(avg_delay_seconds), 6), 1) AS avg_delay_s FROM on_time_hourly WHERE {WEEK}
       GROUP BY 1, 2 HAVING sum(total_arrivals) >= 10 ORDER BY on_time_pct, route_id, line_code LIMIT 20""",
-    "peak_compare": f"SELECT time_period, is_weekday, round(sum(on_time_count) * 100e0 / sum(total_arrivals), 1) AS on_time_pct, round(avg(avg_delay_seconds), 1) AS avg_delay_s, CAST(sum(total_arrivals) AS BIGINT) AS arrivals FROM on_time_hourly WHERE {WEEK} GROUP BY 1, 2",
+    "peak_compare": f"SELECT time_period, is_weekday, round(sum(on_time_count) * 100e0 / sum(total_arrivals), 1) AS on_time_pct, round(round(avg(avg_delay_seconds), 6), 1) AS avg_delay_s, CAST(sum(total_arrivals) AS BIGINT) AS arrivals FROM on_time_hourly WHERE {WEEK} GROUP BY 1, 2",
     "fleet_actual": "SELECT * FROM actual",
     "fleet_planned": "SELECT * FROM planned",
     "fleet_utilization": "SELECT * REPLACE (round(utilization_ratio, 5) AS utilization_ratio) FROM fleet",
@@ -131,11 +131,11 @@ QUERIES = {
     "service_frequency": "SELECT * FROM service",
     "census_brackets": "SELECT tract_code, h3_index, round(population_density, 4) AS population_density, income_bracket FROM tracts",
     "census_hex": "SELECT h3_index, population, households, round(avg_income_brl, 4) AS avg_income_brl, round(population_density, 4) AS population_density, income_bracket FROM cells",
-    "coverage_equity": f"""SELECT h3_index, hour_of_day, time_period, is_weekday, unique_vehicles, position_count, unique_lines, population, households, round(avg_income_brl, 4) AS avg_income_brl, round(population_density, 4) AS population_density,
+    "coverage_equity": f"""SELECT h3_index, hour_of_day, time_period, is_weekday, unique_vehicles, position_count, unique_lines, round(CAST(population AS DOUBLE), 1) AS population, round(CAST(households AS DOUBLE), 1) AS households, round(avg_income_brl, 4) AS avg_income_brl, round(population_density, 4) AS population_density,
       income_bracket, round(v, 5) AS vehicles_per_1k_pop, equity_score, '{DAY}' AS _event_date FROM equity""",
     "equity_overview": """SELECT income_bracket, equity_score, count(DISTINCT h3_index) AS areas, round(avg(v), 2) AS avg_vehicles_per_1k, round(avg(avg_income_brl), 0) AS avg_income, CAST(sum(population) AS BIGINT) AS population
       FROM equity WHERE income_bracket IS NOT NULL GROUP BY 1, 2""",
-    "equity_scatter": "SELECT h3_index, hour_of_day, round(avg_income_brl, 4) AS avg_income_brl, round(v, 5) AS vehicles_per_1k_pop, population, income_bracket, equity_score FROM equity WHERE avg_income_brl IS NOT NULL AND hour_of_day BETWEEN 6 AND 22",
+    "equity_scatter": "SELECT h3_index, hour_of_day, round(avg_income_brl, 4) AS avg_income_brl, round(v, 5) AS vehicles_per_1k_pop, round(CAST(population AS DOUBLE), 1) AS population, income_bracket, equity_score FROM equity WHERE avg_income_brl IS NOT NULL AND hour_of_day BETWEEN 6 AND 22",
     "equity_underserved": """SELECT h3_index, hour_of_day, population, round(avg_income_brl, 0) AS avg_income, round(v, 2) AS vehicles_per_1k, unique_lines FROM equity WHERE equity_score = 'underserved'
       ORDER BY vehicles_per_1k, h3_index, hour_of_day LIMIT 50""",
     "equity_by_hour": "SELECT hour_of_day, income_bracket, round(avg(v), 5) AS avg_vehicles_per_1k, round(avg(unique_lines), 5) AS avg_lines FROM equity WHERE income_bracket IS NOT NULL GROUP BY 1, 2",

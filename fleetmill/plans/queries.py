@@ -15,7 +15,8 @@ from fleetmill.streaming import replay
 
 
 def _rounded(df: DataFrame, **digits: int) -> DataFrame:
-    return df.withColumns({c: F.round(c, n) for c, n in digits.items()})
+    """Columns as rounded doubles, so that two engines' last digits don't matter."""
+    return df.withColumns({c: F.round(F.col(c).cast("double"), n) for c, n in digits.items()})
 
 
 def _api_flatten(spark: SparkSession, d: str) -> DataFrame:
@@ -73,7 +74,7 @@ WEEK = (tb.FIRST, tb.LAST)
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "pos_bounds": lambda s, d: silver.filter_box(tb.positions(s, d)).select("event_id", "vehicle_id", F.round("latitude", 6).alias("latitude"), F.round("longitude", 6).alias("longitude")),
-        "pos_enriched_left": lambda s, d: silver.with_route(tb.positions(s, d, 30), tb.routes(s, d)).select("event_id", "line_code", "route_short_name", "route_long_name", "route_type"),
+        "pos_enriched_left": lambda s, d: silver.with_route(tb.positions(s, d, 30), tb.routes(s, d)).select("event_id", "line_code", "route_short_name", "route_long_name"),
         "pos_dedup": _pos_dedup,
         "time_features": lambda s, d: tb.enriched(s, d).select("event_id", "hour_of_day", "is_weekday", "_event_date", classify.time_period(F.col("hour_of_day")).alias("time_period")),
         "api_flatten": _api_flatten,
@@ -111,9 +112,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "service_frequency": lambda s, d: gold.service_frequency(tb.enriched(s, d), tb.DAY),
         "census_brackets": lambda s, d: _rounded(silver.census_table(tb.census(s, d)), population_density=4).select("tract_code", "h3_index", "population_density", "income_bracket"),
         "census_hex": lambda s, d: _rounded(gold.census_by_cell(silver.census_table(tb.census(s, d))), avg_income_brl=4, population_density=4),
-        "coverage_equity": lambda s, d: _rounded(tb.equity(s, d), avg_income_brl=4, population_density=4, vehicles_per_1k_pop=5),
+        "coverage_equity": lambda s, d: _rounded(tb.equity(s, d), population=1, households=1, avg_income_brl=4, population_density=4, vehicles_per_1k_pop=5),
         "equity_overview": lambda s, d: dashboards.equity_overview(tb.equity(s, d), tb.DAY),
-        "equity_scatter": lambda s, d: _rounded(dashboards.equity_scatter(tb.equity(s, d), tb.DAY), avg_income_brl=4, vehicles_per_1k_pop=5),
+        "equity_scatter": lambda s, d: _rounded(dashboards.equity_scatter(tb.equity(s, d), tb.DAY), population=1, avg_income_brl=4, vehicles_per_1k_pop=5),
         "equity_underserved": lambda s, d: dashboards.equity_underserved(tb.equity(s, d), tb.DAY),
         "equity_by_hour": lambda s, d: _rounded(dashboards.equity_by_hour(tb.equity(s, d), tb.DAY), avg_vehicles_per_1k=5, avg_lines=5),
         "window_5min": _windows("5 minutes"),

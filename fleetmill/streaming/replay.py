@@ -30,7 +30,7 @@ def dedup_replay(spark: SparkSession, d: str) -> DataFrame:
     kept = silver.filter_box(stream).withWatermark("event_ts", DEFAULT.positions_watermark).dropDuplicatesWithinWatermark(["vehicle_id", "event_ts"])
     out = kept.select("vehicle_id", "event_ts", "event_id", time.event_date(F.col("event_ts")).alias("_event_date"))
     append_stream(out, f"{top}/out", f"{top}/check", f"dedup_{uuid.uuid4().hex}").awaitTermination()
-    return spark.read.schema("vehicle_id string, event_ts timestamp, event_id long").parquet(f"{top}/out")
+    return spark.read.schema("vehicle_id string, event_ts timestamp, event_id long").parquet(f"{top}/out").drop("_event_date")
 
 
 def hourly_replay(spark: SparkSession, d: str) -> DataFrame:
