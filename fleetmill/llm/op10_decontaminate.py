@@ -9,6 +9,9 @@ stand for one value of the document throughout and the other way round, so a re-
 (all 3s turned to 7s) is caught and an unrelated text of the same form, whose values contradict
 each other, is not.
 
+Most documents are put aside before that by an exact filter: one that covers an item has to have one
+of the item's few key pairs of words (see key_pairs).
+
 Null and empty texts and items match nothing, nor do items of fewer than five words or without a
 window of three plain words. Rows with a null doc_id are not reported. Repeated rows of one doc_id
 count as one document. Common windows need no cap: each window row finds only the items that hold
@@ -18,9 +21,10 @@ it, and counts are pre-aggregated by document and item.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from fleetmill.llm.common import join_small, read
+from fleetmill.llm.common import join_small, materialize, read
 
 WINDOW, PLAIN, THRESHOLD = 5, 3, 0.8
 UNITS = (
@@ -40,8 +44,8 @@ def marked_words(text: Column) -> Column:
     return F.filter(words, lambda w: w != "")
 
 
-def windows(df: DataFrame, key: str, text: str) -> DataFrame:
-    """``(key, at, window)``: one row for each window of each row with enough words, but those
+def windows(df: DataFrame, key: str, text: str, with_words: bool = False) -> DataFrame:
+    """``(key, at, window)`` and, if asked for, the window's words: one row for each window of each row with enough words, but those
     where fewer than PLAIN words are plain. Each step is a column of its own, so that it is
     computed once for a row."""
     words = df.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(key, marked_words(F.col(text)).alias("words"))
@@ -50,7 +54,7 @@ def windows(df: DataFrame, key: str, text: str) -> DataFrame:
     with_units = F.transform("t", lambda w, i: F.when(w.isin(UNITS) & (F.get("t", i - 1) == NUMBER), UNIT).otherwise(w))
     typed = typed.select(key, F.when(F.array_contains("t", NUMBER), with_units).otherwise(F.col("t")).alias("t"))
     # plain words have even hashes, placeholders odd ones
-    hashed = typed.select(key, F.transform("t", lambda w: F.xxhash64(w).bitwiseAND(-2).bitwiseOR(w.isin(NUMBER, NAME, UNIT).cast("long"))).alias("h"))
+    hashed = typed.select(key, *(["t"] if with_words else []), F.transform("t", lambda w: F.xxhash64(w).bitwiseAND(-2).bitwiseOR(w.isin(NUMBER, NAME, UNIT).cast("long"))).alias("h"))
 
     def one(i: Column) -> Column:
         own = [F.get("h", i + k) for k in range(WINDOW)]
@@ -60,7 +64,44 @@ def windows(df: DataFrame, key: str, text: str) -> DataFrame:
         return F.when(typed_words <= WINDOW - PLAIN, F.xxhash64(*own))
 
     places = F.sequence(F.lit(0), F.size("h") - WINDOW)
-    return hashed.select(key, F.posexplode(F.transform(places, one)).alias("at", "window")).where("window is not null")
+    out = hashed.select(key, *(["t"] if with_words else []), F.posexplode(F.transform(places, one)).alias("at", "window")).where("window is not null")
+    return out.withColumn("words", F.slice("t", F.col("at") + 1, WINDOW)).drop("t") if with_words else out
+
+
+#: More keys than this are not held in a filter; every document then takes the full way.
+KEYS = 200_000
+
+
+def key_pairs(of_items: DataFrame, totals: DataFrame, threshold: float) -> list[tuple[str, str]] | None:
+    """Word pairs of which every document that covers an item has at least one. Of an item's n
+    distinct windows a document may miss n - ceil(threshold n); of one window more than that it has
+    one, and so that window's words, side by side. Of each window the longest pair of words that
+    are all letters is taken, and those windows whose pairs are longest, as few other documents
+    have them. None if a pair is lacking where it is needed, or if there are too many: the list is
+    of the benchmark's size, not of the documents'."""
+    sides = F.zip_with(F.slice("words", 1, WINDOW - 1), F.slice("words", 2, WINDOW - 1), lambda a, b: F.struct((F.length(a) + F.length(b)).alias("n"), a.alias("a"), b.alias("b")))
+    longest = F.array_max(F.filter(sides, lambda p: p["a"].rlike(r"^\p{L}+$") & p["b"].rlike(r"^\p{L}+$")))
+    one = of_items.groupBy("item_id", "window").agg(F.max(longest).alias("key")).join(totals, "item_id")
+    rank = F.row_number().over(W.partitionBy("item_id").orderBy(F.desc_nulls_last("key.n"), "key.a", "key.b", "window"))
+    needed = one.withColumn("rank", rank).where(F.col("rank") <= F.col("n_windows") - F.ceil(threshold * F.col("n_windows")) + 1)
+    found = [(r["a"], r["b"]) for r in needed.select("key.a", "key.b").distinct().limit(KEYS + 1).collect()]
+    return None if (None, None) in found or len(found) > KEYS else sorted(found)
+
+
+def with_key_pair(docs: DataFrame, keys: list[tuple[str, str]]) -> DataFrame:
+    """Rows whose text has one of the pairs; first those that have one of the pairs' longer words.
+    Words that are all letters are the same in a text whether or not names and numbers are marked."""
+    if not keys:
+        return docs.limit(0)
+    singles = F.array(*[F.lit(w) for w in sorted({max(p, key=len) for p in keys})])
+    pairs = F.array(*[F.lit(f"{a} {b}") for a, b in keys])
+
+    def has_pair(words: Column) -> Column:
+        sides = F.zip_with(words, F.slice(words, 2, F.size(words)), lambda a, b: F.concat(a, F.lit(" "), b))
+        return F.when(F.arrays_overlap(words, singles), F.coalesce(F.arrays_overlap(sides, pairs), F.lit(False))).otherwise(False)
+
+    # exists() over an array of one binds the words, so that a text is split once
+    return docs.where(F.exists(F.array(F.split(F.lower("text"), r"[^\p{L}\p{M}\p{N}_]+")), has_pair))
 
 
 def consistent(values: Column) -> Column:
@@ -73,14 +114,17 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
     """``docs(doc_id, text)``, ``items(item_id, text)`` -> ``(doc_id, item_id, n_windows, n_found,
     n_slots)``: the documents that hold an item, one row for each pair."""
     docs, items = docs.select("doc_id", "text"), items.select("item_id", "text")
-    of_items = windows(items, "item_id", "text").withColumnRenamed("at", "item_at")
+    of_items, _ = materialize(windows(items, "item_id", "text", with_words=True).withColumnRenamed("at", "item_at"))
     totals = of_items.groupBy("item_id").agg(F.count_distinct("window").alias("n_windows"))
-    hits = join_small(windows(docs, "doc_id", "text"), of_items, "window", "inner")
+    keys = key_pairs(of_items, totals, threshold)
+    searched = docs if keys is None else with_key_pair(docs, keys)
+    hits = join_small(windows(searched, "doc_id", "text"), of_items.drop("words"), "window", "inner")
     per_shift = hits.groupBy("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).agg(F.count(F.lit(1)).alias("n"), F.collect_set("window").alias("found"))
     # sets of one item's windows: bounded by the item's length
     found = per_shift.groupBy("doc_id", "item_id").agg(F.size(F.array_distinct(F.flatten(F.collect_set("found")))).alias("n_found"), F.max(F.struct("n", -F.col("shift"))).alias("best"))
     candidates = found.join(totals, "item_id").where(F.col("n_found") >= threshold * F.col("n_windows"))
-    candidates = candidates.select("doc_id", "item_id", "n_windows", "n_found", (-F.col("best")["col2"]).alias("shift"))
+    # written, as it is counted before it is joined
+    candidates, _ = materialize(candidates.select("doc_id", "item_id", "n_windows", "n_found", (-F.col("best")["col2"]).alias("shift")))
 
     item_words = items.where("item_id is not null and text is not null").select("item_id", marked_words(F.col("text")).alias("item_words"))
     aligned = join_small(docs, candidates, "doc_id", "inner").select("doc_id", "item_id", "n_windows", "n_found", "shift", marked_words(F.col("text")).alias("words"))
