@@ -156,8 +156,10 @@ def compare(sets: list[np.ndarray], left: list[int], right: list[int], threshold
 
 def join_trees(sets: list[np.ndarray], left: list[int], right: list[int] | None = None, threshold: int = THRESHOLD) -> list[tuple[int, int]]:
     """All linked pairs between ``left`` and ``right``, or inside ``left`` if there is no right."""
+    if not left or right == []:
+        return []
     largest = max((len(sets[i]) for i in left + (right or [])), default=0)
-    if not largest or right == []:
+    if not largest:
         return []
     bits = 1 << min(16, max(6, (2 * largest - 1).bit_length()))
     a = build(sets, left, bits)

@@ -22,6 +22,8 @@ from fleetmill.llm.common import join_small, materialize, read
 #: (verdict, host, path): fits the host and its subdomains if the path starts so; the longest wins.
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"))
 DAMPING, ROUNDS, CLOSE, BLOCK_FROM = 0.85, 30, 1e-4, 0.5
+#: Distrust fades faster: it reaches those who link to blocked hosts, hardly those beyond.
+DISTRUST_DAMPING = 0.6
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -72,7 +74,7 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, roun
     return scores
 
 
-def judge_urls(pages: DataFrame, rules=RULES, damping: float = DAMPING, block_from: float = BLOCK_FROM) -> DataFrame:
+def judge_urls(pages: DataFrame, rules=RULES, damping: float = DAMPING, distrust_damping: float = DISTRUST_DAMPING, block_from: float = BLOCK_FROM) -> DataFrame:
     """``pages(page_id, url, html)`` -> ``(page_id, host, path, rule, verdict, trust, distrust)``."""
     host, path = host_and_path(F.col("url"))
     judged = pages.select("page_id", host.alias("host"), path.alias("path"), "html")
@@ -82,7 +84,7 @@ def judge_urls(pages: DataFrame, rules=RULES, damping: float = DAMPING, block_fr
     share = lambda verdict: F.avg(F.when(F.col("fit.verdict") == verdict, 1.0).otherwise(0.0))
     seeds, drop_seeds = materialize(judged.where("host <> ''").groupBy("host").agg(share("allow").alias("allow"), share("block").alias("block")))
     trust = propagate(edges, seeds.select("host", F.col("allow").alias("seed")), damping)
-    distrust = propagate(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight"), seeds.select("host", F.col("block").alias("seed")), damping)
+    distrust = propagate(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight"), seeds.select("host", F.col("block").alias("seed")), distrust_damping)
     drop_edges()
     scores, _ = materialize(trust.withColumnRenamed("score", "trust").join(distrust.withColumnRenamed("score", "distrust"), "host", "full_outer"))
     out = join_small(judged.drop("html"), scores, "host", "left")

@@ -35,7 +35,7 @@ def test_escapes_map_character_by_character():
 def test_cycles_and_bombs_end():
     x = b64(b64(b64("no secret here at all")))
     assert s.scan(x * 3) is not None
-    assert s.scan(b64(zlib.compress(b"a" * 5_000_000)))[1] == []
+    assert s.scan(b64(zlib.compress(b"z" * 5_000_000)))[1] == []
 
 
 def by_hand(text):
