@@ -1,7 +1,7 @@
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import DATA
+from core_data import DATA
 from pyspark.sql import functions as F
 
 from fleetmill import schemas

@@ -1,6 +1,6 @@
 from datetime import datetime, timedelta
 
-from conftest import DATA
+from core_data import DATA
 from pyspark.sql import functions as F
 
 from fleetmill.plans import gold, silver
