@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetmill import schemas
@@ -59,10 +59,12 @@ def _stop_arrivals(grid: bool) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
-def _windows(length: str, *more: Column) -> Callable[[SparkSession, str], DataFrame]:
+def _windows(length: str, mean: bool = False) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, d: str) -> DataFrame:
         events = tb.read(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-        return events.groupBy(F.window("ts", length), "event_type").agg(F.count(F.lit(1)).alias("n"), *more).select(F.col("window.start").alias("window_start"), "event_type", "n", *[F.col("avg_value")] * len(more))
+        more = [F.round(F.avg("value"), 6).alias("avg_value")] if mean else []
+        out = events.groupBy(F.window("ts", length), "event_type").agg(F.count(F.lit(1)).alias("n"), *more)
+        return out.withColumn("window_start", F.col("window.start")).drop("window")
 
     return run
 
@@ -118,7 +120,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "equity_underserved": lambda s, d: dashboards.equity_underserved(tb.equity(s, d), tb.DAY),
         "equity_by_hour": lambda s, d: _rounded(dashboards.equity_by_hour(tb.equity(s, d), tb.DAY), avg_vehicles_per_1k=5, avg_lines=5),
         "window_5min": _windows("5 minutes"),
-        "window_1h": _windows("1 hour", F.round(F.avg("value"), 6).alias("avg_value")),
+        "window_1h": _windows("1 hour", mean=True),
         "stream_dedup_replay": replay.dedup_replay,
         "stream_hourly_replay": replay.hourly_replay,
     }
