@@ -51,17 +51,6 @@ def test_bronze_to_gold(spark, tmp_path):
     assert arrivals.count() == silver.stop_arrivals(positions, tb.stops(spark, DATA)).count() > 0
 
 
-def test_state_mode_equals_batch_plan(spark, tmp_path):
-    rows = tb.enriched(spark, DATA).where("event_id < 600").withColumn("day", F.date_format("event_ts", "yyyyMMdd"))
-    for (day,) in sorted(tuple(r) for r in rows.select("day").distinct().collect()):
-        rows.where(F.col("day") == day).drop("day").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-    stream = spark.readStream.schema(rows.drop("day").schema).option("maxFilesPerTrigger", 12).parquet(str(tmp_path / "in"))
-    query = jobs.speed_state(stream).writeStream.format("memory").queryName("state_mode").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
-    query.awaitTermination()
-    key = lambda df: sorted((r["vehicle_id"], r["event_ts"], round(r["speed_kmh"], 6)) for r in df.collect())
-    assert key(spark.table("state_mode")) == key(gold.instantaneous_speed(rows))
-
-
 def test_a_repeated_batch_leaves_no_rows_twice(spark, tmp_path):
     handle = sinks.batch_writer(str(tmp_path / "out"), "q")
     for _ in range(2):
