@@ -9,11 +9,15 @@ stand for one value of the document throughout and the other way round, so a re-
 (all 3s turned to 7s) is caught and an unrelated text of the same form, whose values contradict
 each other, is not.
 
+Names are told by their case and by the blank before them, so texts in capitals or broken into lines
+have other templates. Windows of five plain words, case folded and whatever stands between them, are
+therefore joined too, and documents that cover an item's plain windows to THRESHOLD or more hold it,
+whatever its slots. A pair found both ways has the figures of its templates.
+
 Most documents are put aside before that by an exact filter: one that covers an item has to have one
-of the item's few key pairs of words (see key_pairs).
+of the item's few key pairs of words (see key_pairs), of its templates or its plain windows.
 
-Null and empty texts and items match nothing, nor do items of fewer than five words or without a
-window of three plain words. Rows with a null doc_id are not reported. Repeated rows of one doc_id
+Null and empty texts and items match nothing, nor do items of fewer than five words. Rows with a null doc_id are not reported. Repeated rows of one doc_id
 count as one document. Common windows need no cap: each window row finds only the items that hold
 it, and counts are pre-aggregated by document and item.
 """
@@ -44,6 +48,24 @@ def marked_words(text: Column) -> Column:
     return F.filter(words, lambda w: w != "")
 
 
+def folded(text: Column) -> Column:
+    """Text without case; ß is SS in capitals, and a sigma has two small forms."""
+    return F.replace(F.replace(F.lower(text), F.lit("ß"), F.lit("ss")), F.lit("ς"), F.lit("σ"))
+
+
+def plain_words(text: Column) -> Column:
+    return F.filter(F.split(folded(text), r"[^\p{L}\p{M}\p{N}_]+"), lambda w: w != "")
+
+
+def plain_windows(df: DataFrame, key: str, text: str, with_words: bool = False) -> DataFrame:
+    """``(key, window)`` and, if asked for, the window's words: one row for each five words."""
+    words = df.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(key, plain_words(F.col(text)).alias("t")).where(F.size("t") >= WINDOW)
+    hashed = words.select(key, *(["t"] if with_words else []), F.transform("t", lambda w: F.xxhash64(w)).alias("h"))
+    places = F.sequence(F.lit(0), F.size("h") - WINDOW)
+    out = hashed.select(key, *(["t"] if with_words else []), F.posexplode(F.transform(places, lambda i: F.xxhash64(*[F.get("h", i + k) for k in range(WINDOW)]))).alias("at", "window"))
+    return out.select(key, "window", F.slice("t", F.col("at") + 1, WINDOW).alias("words")) if with_words else out.select(key, "window")
+
+
 def windows(df: DataFrame, key: str, text: str, with_words: bool = False) -> DataFrame:
     """``(key, at, window)`` and, if asked for, the window's words: one row for each window of each row with enough words, but those
     where fewer than PLAIN words are plain. Each step is a column of its own, so that it is
@@ -72,19 +94,19 @@ def windows(df: DataFrame, key: str, text: str, with_words: bool = False) -> Dat
 KEYS = 200_000
 
 
-def key_pairs(of_items: DataFrame, totals: DataFrame, threshold: float) -> list[tuple[str, str]] | None:
+def key_pairs(of_items: DataFrame, totals: DataFrame, threshold: float, letters: str = r"^\p{L}+$") -> list[tuple[str, str]] | None:
     """Word pairs of which every document that covers an item has at least one. Of an item's n
     distinct windows a document may miss n - ceil(threshold n); of one window more than that it has
     one, and so that window's words, side by side. Of each window the longest pair of words that
-    are all letters is taken, and those windows whose pairs are longest, as few other documents
+    are all letters is taken (any pair, of plain windows), and those windows whose pairs are longest, as few other documents
     have them. None if a pair is lacking where it is needed, or if there are too many: the list is
     of the benchmark's size, not of the documents'."""
     sides = F.zip_with(F.slice("words", 1, WINDOW - 1), F.slice("words", 2, WINDOW - 1), lambda a, b: F.struct((F.length(a) + F.length(b)).alias("n"), a.alias("a"), b.alias("b")))
-    longest = F.array_max(F.filter(sides, lambda p: p["a"].rlike(r"^\p{L}+$") & p["b"].rlike(r"^\p{L}+$")))
+    longest = F.array_max(F.filter(sides, lambda p: p["a"].rlike(letters) & p["b"].rlike(letters)))
     one = of_items.groupBy("item_id", "window").agg(F.max(longest).alias("key")).join(totals, "item_id")
     rank = F.row_number().over(W.partitionBy("item_id").orderBy(F.desc_nulls_last("key.n"), "key.a", "key.b", "window"))
     needed = one.withColumn("rank", rank).where(F.col("rank") <= F.col("n_windows") - F.ceil(threshold * F.col("n_windows")) + 1)
-    found = [(r["a"], r["b"]) for r in needed.select("key.a", "key.b").distinct().limit(KEYS + 1).collect()]
+    found = [(r["a"], r["b"]) for r in needed.select(folded(F.col("key.a")).alias("a"), folded(F.col("key.b")).alias("b")).distinct().limit(KEYS + 1).collect()]
     return None if (None, None) in found or len(found) > KEYS else sorted(found)
 
 
@@ -101,7 +123,7 @@ def with_key_pair(docs: DataFrame, keys: list[tuple[str, str]]) -> DataFrame:
         return F.when(F.arrays_overlap(words, singles), F.coalesce(F.arrays_overlap(sides, pairs), F.lit(False))).otherwise(False)
 
     # exists() over an array of one binds the words, so that a text is split once
-    return docs.where(F.exists(F.array(F.split(F.lower("text"), r"[^\p{L}\p{M}\p{N}_]+")), has_pair))
+    return docs.where(F.exists(F.array(F.split(folded(F.col("text")), r"[^\p{L}\p{M}\p{N}_]+")), has_pair))
 
 
 def consistent(values: Column) -> Column:
@@ -116,8 +138,11 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
     docs, items = docs.select("doc_id", "text"), items.select("item_id", "text")
     of_items, _ = materialize(windows(items, "item_id", "text", with_words=True).withColumnRenamed("at", "item_at"))
     totals = of_items.groupBy("item_id").agg(F.count_distinct("window").alias("n_windows"))
-    keys = key_pairs(of_items, totals, threshold)
-    searched = docs if keys is None else with_key_pair(docs, keys)
+    plain_of_items, _ = materialize(plain_windows(items, "item_id", "text", with_words=True))
+    plain_totals = plain_of_items.groupBy("item_id").agg(F.count_distinct("window").alias("n_windows"))
+    keys, plain_keys = key_pairs(of_items, totals, threshold), key_pairs(plain_of_items, plain_totals, threshold, letters="")
+    both = None if keys is None or plain_keys is None else sorted({*keys, *plain_keys})
+    searched = docs if both is None or len(both) > KEYS else with_key_pair(docs, both)
     hits = join_small(windows(searched, "doc_id", "text"), of_items.drop("words"), "window", "inner")
     per_shift = hits.groupBy("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).agg(F.count(F.lit(1)).alias("n"), F.collect_set("window").alias("found"))
     # sets of one item's windows: bounded by the item's length
@@ -136,7 +161,15 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
     slots = F.filter(pairs, lambda p: p["beside"] & p["b"].isNotNull() & kind(p["a"]).isNotNull() & (kind(p["a"]) == kind(p["b"])))
     slots = F.transform(slots, lambda p: F.struct(p["a"].alias("a"), p["b"].alias("b")))
     checked = aligned.withColumn("slots", slots).where(consistent(F.col("slots")))
-    return checked.groupBy("doc_id", "item_id").agg(F.max("n_windows").alias("n_windows"), F.max("n_found").cast("long").alias("n_found"), F.max(F.size("slots")).cast("long").alias("n_slots"))
+    templates = checked.groupBy("doc_id", "item_id").agg(F.max("n_windows").alias("n_windows"), F.max("n_found").cast("long").alias("n_found"), F.max(F.size("slots")).cast("long").alias("n_slots"))
+
+    plain_hits = join_small(plain_windows(searched, "doc_id", "text"), plain_of_items.select("item_id", "window").distinct(), "window", "inner")
+    plain_found = plain_hits.groupBy("doc_id", "item_id").agg(F.count_distinct("window").alias("n_found")).join(plain_totals, "item_id").where(F.col("n_found") >= threshold * F.col("n_windows"))
+    plain = plain_found.select("doc_id", "item_id", "n_windows", "n_found", F.lit(0).cast("long").alias("n_slots"))
+    rows = templates.withColumn("plain", F.lit(0)).unionByName(plain.withColumn("plain", F.lit(1)))
+    figures = ("n_windows", "n_found", "n_slots")
+    first = F.min(F.struct("plain", *figures)).alias("first")
+    return rows.groupBy("doc_id", "item_id").agg(first).select("doc_id", "item_id", *[F.col(f"first.{c}").alias(c) for c in figures])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

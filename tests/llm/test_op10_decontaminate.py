@@ -67,3 +67,13 @@ def test_odd_rows_and_plain_plan(spark, odd_docs, no_docs):
     assert d.contaminated(no_docs, items).count() == 0 and d.contaminated(odd_docs, items.limit(0)).count() == 0
     plan = d.query(spark, DATA)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_items_in_other_case_and_spacing_are_caught(spark):
+    """Against words folded without marking names; every such whole item is to be reported."""
+    item, german = ITEM, "Anna, Bernd, Carla und Doris messen die Straße: 3 Äpfel, 4 Birnen und 5 Kirschen, 3 davon süß."
+    forms = [str.upper, str.lower, str.title, lambda t: t.replace(" ", "\n"), lambda t: t.replace(" ", "  "), lambda t: t.upper().replace(" ", "\t")]
+    docs = [(10 * i + k, f"{long_text(40, k)}, {form(text)} {long_text(40, i)}") for i, form in enumerate(forms) for k, text in enumerate((item, german))]
+    fold = lambda t: " ".join(re.findall(r"[^\W_]+", t.casefold()))
+    want = {(d_id, k) for d_id, text in docs for k, own in enumerate((item, german)) if f" {fold(own)} " in f" {fold(text)} "}
+    assert len(want) == len(docs) and set(found(spark, docs, [(0, item), (1, german)])) == want
