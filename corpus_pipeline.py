@@ -6,7 +6,8 @@ Parquet and read again as the next one's input, so each works on whole results a
 repeats one stage at most.
 
 1. language: documents without any letter, or whose language is told with less than even odds, go.
-2. near_duplicates: one document of each component of similar ones stays, the smallest doc_id.
+2. near_duplicates: one document of each component of similar ones (five-word shingles, Jaccard 0.8
+   or more) stays, the smallest doc_id.
 3. decontaminate: documents that hold a benchmark item go.
 4. secrets: documents stay; each secret found, decoded layers included, is replaced by a mark.
 5. pack: documents are tokenized, cut and packed.
@@ -26,6 +27,8 @@ from fleetmill.llm import op2_jaccard, op5_secrets, op8_language, op9_packing, o
 from fleetmill.llm.common import join_small, materialize, read
 
 SURE = 0.5
+#: Near duplicates: shingles of so many words, Jaccard similarity in percent.
+SHINGLE_WORDS, SIMILAR = 5, 80
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +41,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found, drop = materialize(op2_jaccard.jaccard_components(docs).where("doc_id is not null").select("doc_id", "component_id"))
+    found, drop = materialize(op2_jaccard.jaccard_components(docs, threshold=SIMILAR, words=SHINGLE_WORDS).where("doc_id is not null").select("doc_id", "component_id"))
     gone = found.where("doc_id <> component_id").select("doc_id").distinct()
     kept = join_small(docs, gone, "doc_id", "left_anti")
     repeated = found.groupBy("doc_id").count().where("count > 1").select("doc_id")

@@ -5,8 +5,10 @@
 2. Classes are routed to blocks. If two sets of at most r shingles reach the threshold T (percent),
    they differ in at most k = 2r(100-T)/(100+T) shingles. Shingles are dealt by hash into more than
    k segments; a differing shingle spoils one segment, so some unspoiled segment is equal in both.
-   Each set sends a hash of each segment, those of under three shingles left out as long as more
-   than k remain (the rule looks at a segment only, so equal ones are treated alike). Sets are
+   Each set sends a hash of each segment, small ones (of under three shingles, else under two, else
+   empty ones) left out as long as more than k remain, with k for the largest partner that the set
+   can have: of two sets, the one that leaves out more still sends an equal segment, which the
+   other then sends too. Sets are
    dealt by size range, and a set near the next range's low end also sends that range's hashes.
    Classes that meet in a hash are joined by connected components: links can be only inside one.
 3. Each component is joined with itself by signature trees. A node holds the OR-combined bitmap of
@@ -97,8 +99,9 @@ def segment_hashes(tokens: np.ndarray, threshold: int = THRESHOLD) -> np.ndarray
         full = np.flatnonzero(counts)
         sums[full] = np.add.reduceat(mixed(tokens[order] + ODD[2]), (np.cumsum(counts) - counts)[full])
         keys = mixed(sums + np.arange(segments, dtype=np.uint64) * ODD[0] + np.full(segments, c, np.uint64) * ODD[3])
-        telling = counts >= LEAST
-        out.append(keys[telling] if telling.sum() > differ else keys)
+        own = (n + min(TOPS[c], 100 * n // threshold)) * (100 - threshold) // (100 + threshold)
+        least = next((t for t in range(LEAST, 0, -1) if (counts >= t).sum() > own), 0)
+        out.append(keys[counts >= least])
     return np.concatenate(out)
 
 

@@ -36,3 +36,16 @@ def test_near_duplicates_keep_one_of_each_group(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     got = sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in c.near_duplicates(spark, docs, DATA).collect())
     assert got == [(False, 2), (False, 4), (False, 9), (True, 0)]
+
+
+def test_near_duplicates_take_five_words_and_four_fifths(spark):
+    words = [f"w{i}" for i in range(200)]
+    near, far = words.copy(), words.copy()
+    for i in (30, 80, 130):  # 15 of 196 shingles of five words: 0.86; 9 of 198 of three: 0.91
+        near[i] = f"near{i}"
+    near[170] = "near170"  # 0.81 of five words, 0.89 of three
+    for i in range(20, 180, 20):  # 0.66
+        far[i] = f"far{i}"
+    rows = [(k, " ".join(x), "en", "a", 1) for k, x in enumerate((words, near, far))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r["doc_id"] for r in c.near_duplicates(spark, docs, DATA).collect()) == [0, 2]
