@@ -25,8 +25,11 @@ BASE = (("under the mit license", "mit"), ("apache license version 2", "apache-2
 #: Characters that stand between words, in lower-cased text.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WORD = r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"
-#: One of these has to occur; "cc" counts only before "by" and the like.
-GATES = ("licen", "gpl", "spdx", "creative", "domain", "granted", "redistribut", "wtfpl", "copyleft", "conditions are met")
+#: Whatever a rule matches holds one of these, passes GATE_UNDER or GATE_SHORT, or has "cc" before
+#: "by" and the like; other texts need no rules.
+GATES = ("licen", "gpl", "spdx", "creative", "domain", "granted", "redistribut", "wtfpl", "copyleft", "conditions are met", "apache", "bsd", "cddl", "eupl", "gfdl", "odbl", "commons", "portions", "endorse", "advertising", "liable", "waived", "prohibited")
+GATE_UNDER = r"(?i)(?:released|distributed|available|provided|published|covered|offered|shared)[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+under"
+GATE_SHORT = r"(?i)(?<![0-9a-z])(?:[em]pl|(?:odc[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+by|ms[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+[pr]l))(?![0-9a-z])"
 GATE_CC = r"(?i)cc[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+(?:by|0|zero|sa|nc|nd)|cc0"
 
 L = "licen[sc]e"
@@ -96,22 +99,22 @@ NAMES = (
     ("cc-by-sa", "cc by sa [1234] [05]", "(?:cc by sa|creative commons attribution share ?alike)(?: [1234] [05])?", "cc|creative commons", True),
     ("cc-by", "cc by [1234] [05]", "(?:cc by|creative commons attribution)(?: [1234] [05])?", "cc|creative commons", True),
 )
-#: Contexts in which a name stands: level, score, expression around it.
+#: Contexts in which a name stands: level, score, keyword (else the name's), expression around it.
 CONTEXTS = (
     (2, 0.98, "spdx", "spdx {L} identifier {id}"),
-    (3, 0.9, "under", "(?:licensed|released|distributed|available|provided|published|covered|offered|shared|dual licensed) under (?:an? |the )?(?:terms (?:and conditions )?of (?:the )?)?{name}(?: {L})?(?: agreement)?"),
-    (4, 0.8, "under", "(?:under|subject to|governed by|terms of|according to) (?:an? |the )?(?:terms (?:and conditions )?of (?:the )?)?{name} {L}"),
+    (3, 0.9, "", "(?:licensed|released|distributed|available|provided|published|covered|offered|shared|dual licensed) under (?:an? |the )?(?:terms (?:and conditions )?of (?:the )?)?{name}(?: {L})?(?: agreement)?"),
+    (4, 0.8, "", "(?:under|subject to|governed by|terms of|according to) (?:an? |the )?(?:terms (?:and conditions )?of (?:the )?)?{name} {L}"),
     (5, 0.6, "", "{mention}"),
 )
-#: Sentences of license texts: label, words, keyword.
+#: Sentences of license texts: label, words, keyword (one that the sentence itself holds).
 TEXTS = (
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy", "granted"),
-    ("mit", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software", "granted"),
+    ("mit", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software", "substantial portions"),
     ("isc", "permission to use copy modify and(?: or)? distribute this software for any purpose with or without fee is hereby granted", "granted"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", "redistribut"),
     ("bsd", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer", "redistribut"),
-    ("bsd-3-clause", "neither the name of (?:[^ ]+ ){1,8}nor the names of its contributors may be used to endorse or promote products", "redistribut"),
-    ("bsd-4-clause", "all advertising materials mentioning features or use of this software must display the following acknowledge?ment", "redistribut"),
+    ("bsd-3-clause", "neither the name of (?:[^ ]+ ){1,8}nor the names of its contributors may be used to endorse or promote products", "endorse"),
+    ("bsd-4-clause", "all advertising materials mentioning features or use of this software must display the following acknowledge?ment", "advertising"),
     ("apache-2", "you may not use this file except in compliance with the license", "license"),
     ("apache-2", "you may obtain a copy of the license at http www apache org licenses license 2 0", "license"),
     ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license", "license"),
@@ -123,16 +126,16 @@ TEXTS = (
     ("mpl-2", "this source code form is subject to the terms of the mozilla public license v 2 0", "license"),
     ("epl-1", "this program and the accompanying materials are made available under the terms of the eclipse public license", "license"),
     ("bsl-1", "distributed under the boost software license version 1 0", "license"),
-    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable", "redistribut"),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable", "liable"),
     ("unlicense", "this is free and unencumbered software released into the public domain", "domain"),
     ("wtfpl", "everyone is permitted to copy and distribute verbatim or modified copies of this license document and changing it is allowed", "license"),
     ("ofl-1.1", "this font software is licensed under the sil open font license version 1 1", "license"),
     ("public-domain", "(?:dedicated|released|placed|is|are) (?:in|into|to) the public domain", "domain"),
-    ("cc0", "to the extent possible under law (?:[^ ]+ ){1,8}has waived all copyright and related or neighboring rights", "creative"),
+    ("cc0", "to the extent possible under law (?:[^ ]+ ){1,8}has waived all copyright and related or neighboring rights", "waived"),
     ("cc-by", "this work is licensed under a creative commons attribution [1234] [05] international license", "creative"),
     ("cc-by-sa", "this work is licensed under a creative commons attribution sharealike [1234] [05] international license", "creative"),
     ("cc-by-nc", "this work is licensed under a creative commons attribution noncommercial [1234] [05] international license", "creative"),
-    ("proprietary", "(?:unauthorized|unauthorised) (?:copying|use|reproduction|redistribution)(?: or (?:copying|use|reproduction|redistribution))? (?:[^ ]+ ){0,6}is (?:strictly )?prohibited", "redistribut"),
+    ("proprietary", "(?:unauthorized|unauthorised) (?:copying|use|reproduction|redistribution)(?: or (?:copying|use|reproduction|redistribution))? (?:[^ ]+ ){0,6}is (?:strictly )?prohibited", "prohibited"),
 )
 
 
@@ -200,6 +203,9 @@ def scan_licenses(docs: DataFrame, text: str = "text") -> DataFrame:
     gate = F.lit(False)
     for word in GATES:
         gate = gate | F.contains(low, F.lit(word))
+    gate = gate | (F.contains(low, F.lit("under")) & F.col(text).rlike(GATE_UNDER))
+    short = F.contains(low, F.lit("mpl")) | F.contains(low, F.lit("epl")) | F.contains(low, F.lit("odc")) | F.contains(low, F.lit("ms"))
+    gate = gate | (short & F.col(text).rlike(GATE_SHORT))
     gate = gate | (F.contains(low, F.lit("cc")) & F.col(text).rlike(GATE_CC))
     words = F.coalesce(F.size(F.regexp_extract_all(F.col(text), F.lit(WORD), F.lit(0))), F.lit(0))
     lowered = F.translate(F.col(text), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

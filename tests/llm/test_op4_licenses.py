@@ -1,3 +1,4 @@
+import random
 import re
 
 from llm_data import DATA
@@ -68,3 +69,51 @@ def test_hundreds_of_rules_and_the_better_reading_wins(spark):
     assert len(lic.rules()) > 200
     assert brute("licensed under the gnu lesser general public license version 3")[5] == "lgpl-3"
     assert lic.scan_licenses(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+NAMED = [
+    "Apache 2.0", "Released under the BSD.", "distributed under the MPL 2.0", "EUPL 1.2", "CDDL", "EPL 2.0", "MS-PL", "ms\nrl", "ODbL", "GFDL", "0BSD", "ODC-BY", "available under MIT", "Governed by the MIT License", "subject to the zlib licence",
+    "Unauthorized copying of this file is strictly prohibited", "To the extent possible under law, the author has waived all copyright and related or neighboring rights", "simple example, replaced terms", "",
+]
+
+
+def sample(pattern, rng):
+    """A text that the expression matches."""
+    out = ""
+    for op, arg in pattern:
+        match str(op):
+            case "LITERAL":
+                out += chr(arg)
+            case "NOT_LITERAL":
+                out += rng.choice("abcz")
+            case "IN":
+                out += chr(rng.choice(arg)[1])
+            case "BRANCH":
+                out += sample(rng.choice(arg[1]), rng)
+            case "SUBPATTERN":
+                out += sample(arg[3], rng)
+            case "MAX_REPEAT":
+                low, high, inner = arg
+                out += "".join(sample(inner, rng) for _ in range(rng.randint(low, min(int(high), low + 2))))
+    return out
+
+
+def test_no_gate_loses_a_match(spark):
+    """Against all rules tried on all texts; each rule's own matches are among the texts."""
+    import unittest.mock as mock
+    from re import _parser
+
+    rng, texts = random.Random(0), list(NAMED)
+    for *_, pattern in lic.rules():
+        for _ in range(3):
+            words = sample(_parser.parse(pattern), rng).split()
+            text = rng.choice([" ", "-", "\n", ", ", "_"]).join(words)
+            texts.append("zz " + rng.choice([text, text.upper(), text.title()]) + "\nzz")
+    with mock.patch.object(lic, "GATES", ("",)), mock.patch.object(lic, "rules", lambda rules=lic.rules(): [(a, b, "", *rest) for a, b, _, *rest in rules]):
+        want = [brute(t) for t in texts]
+    # an expression that can end in a blank matches no text where it does
+    assert all(w[6] > 0 for w in want[: len(NAMED) - 2]) and sum(w[6] > 0 for w in want) > 0.98 * len(want)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    with mock.patch.object(lic, "read", lambda *a: df):
+        got = {r["doc_id"]: tuple(r)[1:] for r in lic.query(spark, "").collect()}
+    assert [(t, got[i], w) for i, (t, w) in enumerate(zip(texts, want, strict=True)) if got[i] != w] == []
