@@ -3,8 +3,10 @@ r"""URL filters: rules for hosts and paths and, where none fits, propagation ove
 Hosts are joined by the absolute links in their pages. Trust starts at hosts whose pages the rules
 allow, by the share of such pages, and flows along links (personalised PageRank with damping);
 distrust starts at hosts whose pages the rules block and flows against them, to those who link
-there. A page without a rule is blocked if its host's distrust reaches BLOCK_FROM and exceeds the
-trust; the measure is the same whatever the number of hosts.
+there: a host gets the damped mean distrust of what it links to, weighted by its own links, so it
+does not matter how many others link there too. A page without a rule is blocked if its host's
+distrust reaches BLOCK_FROM and exceeds the trust; the measure is the same whatever the number of
+hosts.
 
 The host stands after the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z lowered; the path
 follows up to ``?``, ``#`` or the end. Null urls, and those without ``://``, have an empty host and
@@ -50,13 +52,14 @@ def link_hosts(html: Column) -> Column:
     return F.transform(found, lambda h: F.translate(h, UPPER, LOWER))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS, close: float = CLOSE) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS, close: float = CLOSE, by: str = "src") -> DataFrame:
     """``edges(src, dst, weight)``, ``seeds(host, seed)`` -> ``(host, score)`` with score = seed +
     damping * the scores of those that link here, each split over its links by weight: personalised
-    PageRank but for the factor 1 - damping. Each round's scores are a written table; a hub's
+    PageRank but for the factor 1 - damping. With ``by="dst"`` nothing is split: the scores of those
+    that link here are averaged by weight. Each round's scores are a written table; a hub's
     contributions are summed before they are shuffled."""
-    out = edges.groupBy("src").agg(F.sum("weight").alias("total"))
-    shares, drop_shares = materialize(edges.join(out, "src").select("src", "dst", (F.col("weight") / F.col("total")).alias("part")))
+    out = edges.groupBy(by).agg(F.sum("weight").alias("total"))
+    shares, drop_shares = materialize(edges.join(out, by).select("src", "dst", (F.col("weight") / F.col("total")).alias("part")))
     seeds = seeds.where("seed > 0")
     scores, drop = materialize(seeds.select("host", F.col("seed").alias("score")))
     if shares.isEmpty():
@@ -84,7 +87,7 @@ def judge_urls(pages: DataFrame, rules=RULES, damping: float = DAMPING, distrust
     share = lambda verdict: F.avg(F.when(F.col("fit.verdict") == verdict, 1.0).otherwise(0.0))
     seeds, drop_seeds = materialize(judged.where("host <> ''").groupBy("host").agg(share("allow").alias("allow"), share("block").alias("block")))
     trust = propagate(edges, seeds.select("host", F.col("allow").alias("seed")), damping)
-    distrust = propagate(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight"), seeds.select("host", F.col("block").alias("seed")), distrust_damping)
+    distrust = propagate(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight"), seeds.select("host", F.col("block").alias("seed")), distrust_damping, by="dst")
     drop_edges()
     scores, _ = materialize(trust.withColumnRenamed("score", "trust").join(distrust.withColumnRenamed("score", "distrust"), "host", "full_outer"))
     out = join_small(judged.drop("html"), scores, "host", "left")

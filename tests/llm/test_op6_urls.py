@@ -60,3 +60,13 @@ def test_distrust_reaches_those_who_link_to_blocked_hosts(spark):
     got = {r["page_id"]: (r["verdict"], r["trust"], r["distrust"]) for r in u.judge_urls(spark.createDataFrame(pages, SCHEMA)).collect()}
     assert [got[i][0] for i in range(1, 6)] == ["block", "block", "allow", "allow", "allow"]
     assert got[3][1] > 0 and got[2][2] >= 0.5 and got[5][1:] == (0.0, 0.0)
+
+
+def test_distrust_does_not_shrink_with_the_number_of_linkers(spark):
+    link = '<a href="https://{}/x">'
+    pages = [(0, "https://bad.net/fr/1", link.format("far.org")), (1, "https://mixed.org/1", link.format("bad.net") + link.format("far.org") * 3), (2, "https://beyond.org/1", link.format("spam7.org"))]
+    for n in (1, 2, 100):
+        rows = pages + [(10 + i, f"https://spam{i + 7}.org/1", link.format("bad.net")) for i in range(n)]
+        got = {r["page_id"]: r for r in u.judge_urls(spark.createDataFrame(rows, SCHEMA)).collect()}
+        assert all(got[10 + i]["verdict"] == "block" and abs(got[10 + i]["distrust"] - 0.6) < 1e-3 for i in range(n))
+        assert got[1]["verdict"] == got[2]["verdict"] == "allow"
