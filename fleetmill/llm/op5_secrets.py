@@ -6,7 +6,10 @@ more digits). Then a worklist unwraps what the text holds in other forms: percen
 Unicode and hexadecimal escapes and character references, base64, and compressed (zlib, gzip) or
 base64 data inside base64. Each decoded layer is scanned like a text and searched for further
 layers until none is new: layers are remembered by their content, so a layer that decodes to an
-earlier one ends there. Every hit in a layer is mapped back through the layers to the span of the
+earlier one ends there. Base64 is read in single runs and, as it is often wrapped, in runs joined
+across single line breaks; a run that is no text as a whole (it stands beside a path, a prefix or
+other characters of its alphabet) is read at all four alignments for the readable or compressed
+stretches in it. Every hit in a layer is mapped back through the layers to the span of the
 original characters that it was decoded from.
 
 A hit in a decoded layer has the kind ``layer/kind`` (such as ``base64/assign``, the outermost
@@ -49,6 +52,12 @@ ESCAPE = {
 ONE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|(&[^;]*;)")
 #: A run that could be base64 of 12 bytes or more.
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+#: Runs joined across single line breaks, and one line of them.
+WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:[ \t]*+\r?\n[ \t]*+[A-Za-z0-9+/_-]++)++={0,2}")
+LINE = re.compile(r"[A-Za-z0-9+/_=-]+")
+#: Readable stretches that could hold a secret, and what compressed data begin with.
+STRETCH = re.compile(rb"(?:[\t\n\r\x20-\x7e]|[\xc2-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{2}|[\xf0-\xf4][\x80-\xbf]{3}){12,}")
+MAGIC = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]")
 NAMES = ("password", "passwd", "secret", "token", "api")
 
 Span = tuple[int, int, str]
@@ -137,7 +146,7 @@ def _readable(raw: bytes) -> str | None:
     return text if text and sum(c.isprintable() or c in "\t\n\r" for c in text) >= 0.95 * len(text) else None
 
 
-def _inflate(raw: bytes) -> bytes | None:
+def _inflate(raw: bytes | memoryview) -> bytes | None:
     if raw[:2] not in (b"\x1f\x8b", b"\x78\x01", b"\x78\x5e", b"\x78\x9c", b"\x78\xda"):
         return None
     try:
@@ -146,25 +155,70 @@ def _inflate(raw: bytes) -> bytes | None:
         return None
 
 
+def _decode(body: str) -> bytes:
+    return base64.b64decode(body.replace("-", "+").replace("_", "/") + "=" * (-len(body) % 4))
+
+
+def _unpacked(raw: bytes | memoryview) -> tuple[bytes, str]:
+    """What is left when directly nested compression is undone, and the layer's name."""
+    name = "base64"
+    for _ in range(16):
+        more = _inflate(raw)
+        if more is None:
+            break
+        raw, name = more, "compressed"
+    return raw, name
+
+
+def _stretches(body: str) -> Iterator[tuple[str, str, int, int]]:
+    """Texts anywhere in a run, at any alignment: (text, name, the characters that they are from)."""
+    for shift in range(4):
+        part = body[shift:]
+        raw = _decode(part[: len(part) - 1 if len(part) % 4 == 1 else len(part)])
+        for m in STRETCH.finditer(raw):
+            if text := m[0].decode("utf-8", "ignore"):
+                yield text, "base64", shift + m.start() // 3 * 4, min(len(body), shift - (-m.end() // 3) * 4)
+        for m in MAGIC.finditer(raw):
+            found, name = _unpacked(memoryview(raw)[m.start() :])
+            if name == "compressed" and (text := _readable(found)):
+                yield text, name, shift + m.start() // 3 * 4, len(body)
+
+
+def _runs(text: str) -> Iterator[tuple[str, list[tuple[int, int]]]]:
+    """Runs that could be base64: the characters, and where each line of them begins (in the run, in
+    the text)."""
+    for m in BASE64.finditer(text):
+        yield m[0].rstrip("="), [(0, m.start())]
+    if "\n" in text:
+        for m in WRAPPED.finditer(text):
+            lines, at, joined = [], 0, LINE.findall(m[0])
+            for line in LINE.finditer(m[0]):
+                lines.append((at, m.start() + line.start()))
+                at += len(line[0])
+            if at >= 16:
+                yield "".join(joined).rstrip("="), lines
+
+
 def packed_layers(layer: Layer) -> Iterator[Layer]:
     """Texts inside base64 runs, also compressed ones."""
-    for m in BASE64.finditer(layer.text):
-        run = m[0]
-        body = run.rstrip("=")
-        if len(body) % 4 == 1 or body.isalpha() and (body.islower() or body.isupper()):
-            continue
-        try:
-            raw = base64.b64decode(body.replace("-", "+").replace("_", "/") + "=" * (-len(body) % 4))
-        except (binascii.Error, ValueError):
+    for body, lines in _runs(layer.text):
+        if body.isalpha() and (body.islower() or body.isupper()):
             continue
-        name = "base64"
-        for _ in range(16):
-            more = _inflate(raw)
-            if more is None:
-                break
-            raw, name = more, "compressed"
-        if text := _readable(raw):
-            start, end = layer.origin(m.start(), m.end())
+        starts = [at for at, _ in lines]
+
+        def place(i: int) -> int:
+            at, there = lines[bisect_right(starts, i) - 1]
+            return there + i - at
+
+        whole = None
+        if len(body) % 4 != 1:
+            raw, name = _unpacked(_decode(body))
+            whole = _readable(raw)
+        for text, name, first, last in [(whole, name, 0, len(body))] if whole else _stretches(body):
+            end = place(last - 1) + 1
+            while whole and end < len(layer.text) and layer.text[end] == "=" and end - place(last - 1) <= 2:
+                end += 1
+            start, end = layer.origin(place(first), end)
             yield Layer(layer.name or name, [(text, start, end, False)])
 
 

@@ -66,3 +66,31 @@ def test_redaction(spark, odd_docs):
     got = s.redact_secrets(odd_docs)
     assert got.dtypes == odd_docs.dtypes and got.count() == odd_docs.count()
     assert not s.scan(s.scan(f"a {SECRET} b {b64(SECRET)}") and [r["text"] for r in got.collect() if r["text"] and "without" in r["text"]][0])[0]
+
+
+NOISE = "".join(f"line {i * i} of a longer letter, {hashlib.md5(str(i).encode()).hexdigest()[:9]}; " for i in range(12))
+
+
+@pytest.mark.parametrize("payload", [f"{NOISE[:40]} {SECRET} {NOISE}".encode(), zlib.compress(f"{NOISE} {SECRET} {NOISE}".encode()), gzip.compress(f"{NOISE} {SECRET}".encode())])
+@pytest.mark.parametrize("line_break", ["\n", "\r\n", "\n    "])
+def test_wrapped_base64_is_joined(payload, line_break):
+    whole = b64(payload)
+    wrapped = line_break.join(whole[i : i + 76] for i in range(0, len(whole), 76))
+    for before, after in (("see\n\n", "\n\nend"), ("-----BEGIN X-----\n", "\n-----END X-----"), ("a word\n", "\nand more words")):
+        text = before + wrapped + after
+        hits = [(a, b) for a, b, k in s.scan(text)[1] if k.endswith("/assign")]
+        at = len(before)
+        assert any(a < at + 76 < b for a, b in hits), text
+
+
+@pytest.mark.parametrize("packed", [SECRET.encode(), zlib.compress(SECRET.encode()), b64(SECRET).encode()])
+@pytest.mark.parametrize("glue", ["com/{}", "key_{}", "x-{}", "a/bc-d_{}", "{}/tail", "ab{}-x_y", "x{}", "https://ex.org/a-b/{}/c"])
+def test_glued_base64_is_found(packed, glue):
+    hidden = b64(packed).rstrip("=")
+    text = "before " + glue.format(hidden) + " after"
+    at = text.index(hidden)
+    assert any(k.endswith("/assign") and a <= at + 8 and b >= at + len(hidden) - 4 for a, b, k in s.scan(text)[1])
+
+
+def test_long_runs_take_linear_time():
+    assert s.scan("x" * 200_000 + " " + "a/b-" * 50_000 + "\n" + "word\n" * 20_000) == ([], [])
