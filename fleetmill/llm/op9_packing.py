@@ -181,10 +181,11 @@ def token_pieces(docs: DataFrame, tokenizer: str = "byte_bpe_50k", capacity: int
 
 
 def best_fit(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """Adds ``sequence_id`` and ``offset`` to rows with a ``length``. ``pieces`` has to be a table
-    at rest: it is read twice and dealt into the same partitions each time."""
+    """Adds ``sequence_id`` and ``offset`` to rows with a ``length``. The rows are written once,
+    each with the partition it was in: both passes number by that column, as the partitions of a
+    scan change with the number of executors."""
     spark = pieces.sparkSession
-    at = pieces.withColumn("_part", F.spark_partition_id())
+    at, _ = materialize(pieces.withColumn("_part", F.spark_partition_id()))
     counts, _ = materialize(at.groupBy("length", "_part").agg(F.count(F.lit(1)).alias("n")))
     runs = plan({r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}, capacity)
     table = spark.createDataFrame(runs, "length long, _a long, _b long, _bin long, _each long, _at long")
@@ -202,8 +203,7 @@ def best_fit(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 def pack(docs: DataFrame, tokenizer: str = "byte_bpe_50k", capacity: int = CAPACITY) -> DataFrame:
     """Tokenizes, cuts and packs ``docs(doc_id, text)``; one row per piece."""
-    pieces, _ = materialize(token_pieces(docs, tokenizer, capacity))
-    return best_fit(pieces, capacity)
+    return best_fit(token_pieces(docs, tokenizer, capacity), capacity)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

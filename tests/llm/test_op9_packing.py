@@ -79,3 +79,20 @@ def test_documents(spark, odd_docs, no_docs):
         assert ends == len(best_fit_by_hand(got["length"].tolist(), 2048))
     assert p.pack(no_docs).count() == 0
     assert p.pack(odd_docs).where("doc_id is null").count() >= 2
+
+
+def test_other_partitions_in_the_second_scan_lose_nothing(spark):
+    docs = spark.createDataFrame([(i, " ".join(["word"] * (1 + i % 7))) for i in range(400)], "doc_id long, text string").repartition(8)
+    got, name = p.pack(docs, capacity=16), "spark.sql.files.maxPartitionBytes"
+    was = spark.conf.get(name)
+    spark.conf.set(name, "1k")
+    try:
+        rows = got.collect()
+    finally:
+        spark.conf.set(name, was)
+    assert {r["doc_id"] for r in rows} == set(range(400)) and len(rows) == 400
+    bins = {}
+    for r in rows:
+        bins.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for parts in map(sorted, bins.values()):
+        assert parts[0][0] == 0 and all(x + n == y for (x, n), (y, _) in zip(parts, parts[1:])) and sum(n for _, n in parts) <= 16
