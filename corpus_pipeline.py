@@ -13,7 +13,9 @@ repeats one stage at most.
 5. pack: documents are tokenized, cut and packed.
 
 Rows with a null doc_id pass the filters (they can't be named in a result) but for the first, which
-judges their text; repeated rows of one doc_id leave the second stage once.
+judges their text; repeated rows (of one doc_id and text) leave the second stage once, different
+texts of one doc_id all. Null texts are no language and go first. Texts are read whole, however
+long; further columns go through all stages but the last. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -41,13 +43,13 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found, drop = materialize(op2_jaccard.jaccard_components(docs, threshold=SIMILAR, words=SHINGLE_WORDS).where("doc_id is not null").select("doc_id", "component_id"))
+    found = op2_jaccard.jaccard_components(docs, threshold=SIMILAR, words=SHINGLE_WORDS, links=False).where("doc_id is not null")
     gone = found.where("doc_id <> component_id").select("doc_id").distinct()
     kept = join_small(docs, gone, "doc_id", "left_anti")
     repeated = found.groupBy("doc_id").count().where("count > 1").select("doc_id")
     if repeated.isEmpty():
         return kept
-    once = join_small(kept, repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    once = join_small(kept, repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     return join_small(kept, repeated, "doc_id", "left_anti").unionByName(once)
 
 
@@ -80,9 +82,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on ``documents``, each one's result a written table."""
-    docs = read(spark, sf_dir, "documents")
+    docs, drop = read(spark, sf_dir, "documents"), None
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
-            docs, _ = materialize(docs)
+            docs, drop_own = materialize(docs)
+            if drop:
+                drop()
+            drop = drop_own
     return docs

@@ -15,11 +15,12 @@ from pyspark.sql import functions as F
 
 from fleetmill.shipping import ship
 
-#: Rows per Arrow batch: bounds a Python worker's memory on tables of long texts.
-ARROW_ROWS = 512
+#: Bytes of texts that are Python objects at a time: bounds a worker's memory whatever the texts'
+#: lengths (a longer text is taken alone).
+ARROW_BYTES = 4 << 20
 
 #: A side is broadcast only below this many rows (of two or three numbers each); it is counted first.
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = 200_000
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -27,11 +28,13 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors see: spark.checkpoint.dir, or an own one where that is unset
-    (local runs and tests)."""
+    """The folder that all executors see: spark.checkpoint.dir. Where that is unset, a local run gets
+    an own one; on a cluster that is an error, as executors would write to their own disks."""
     sc = spark.sparkContext
     found = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not found:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors see")
         found = "file://" + tempfile.mkdtemp(prefix="fleetmill-")
         sc.setCheckpointDir(found)
     return found
@@ -61,43 +64,83 @@ def materialize(df: DataFrame) -> tuple[DataFrame, Callable[[], None]]:
     return spark.read.schema(df.schema).parquet(path), lambda: drop_path(spark, path)
 
 
+class Tables:
+    """Written intermediate tables that are dropped together, once the result is itself written."""
+
+    def __init__(self):
+        self.drops: list[Callable[[], None]] = []
+
+    def put(self, df: DataFrame) -> DataFrame:
+        out, drop = materialize(df)
+        self.drops.append(drop)
+        return out
+
+    def finish(self, df: DataFrame) -> DataFrame:
+        """``df`` as a written table; the others go."""
+        out, _ = materialize(df)
+        for drop in self.drops:
+            drop()
+        self.drops.clear()
+        return out
+
+
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Parts of about ARROW_BYTES, so that few texts are Python objects at a time."""
+    rows = max(1, batch.num_rows * ARROW_BYTES // max(1, batch.nbytes))
+    for k in range(0, max(1, batch.num_rows), rows):
+        yield batch.slice(k, rows)
+
+
 def map_texts(df: DataFrame, rows: Callable[[dict[str, list]], dict[str, list]], schema: str) -> DataFrame:
-    """``rows`` turns the columns of one Arrow batch (as Python lists) into the output columns."""
+    """``rows`` turns the columns of one Arrow batch (as Python lists) into the output columns. Spark
+    bounds its batches by bytes (spark.sql.execution.arrow.maxBytesPerBatch, 64 MB unless set); they
+    are worked on in slices of ARROW_BYTES."""
     spark = df.sparkSession
     ship(spark)
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > ARROW_ROWS:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     out_schema = spark.createDataFrame([], schema).schema
     from pyspark.sql.pandas.types import to_arrow_schema
 
     arrow = to_arrow_schema(out_schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            got = rows({name: batch.column(i).to_pylist() for i, name in enumerate(batch.schema.names)})
-            yield pa.RecordBatch.from_arrays([pa.array(got[f.name], f.type) for f in arrow], schema=arrow)
+        for whole in batches:
+            for batch in _slices(whole):
+                got = rows({name: batch.column(i).to_pylist() for i, name in enumerate(batch.schema.names)})
+                yield pa.RecordBatch.from_arrays([pa.array(got[f.name], f.type) for f in arrow], schema=arrow)
 
     return df.mapInArrow(run, out_schema)
 
 
-def join_small(left: DataFrame, right: DataFrame, on: str, how: str, rows: int | None = None) -> DataFrame:
+def join_small(left: DataFrame, right: DataFrame, on: str | list[str], how: str, rows: int | None = None) -> DataFrame:
     """Join with a right side of few short rows: broadcast if it was counted below BROADCAST_ROWS,
     else an ordinary shuffle join."""
     n = right.count() if rows is None else rows
     return left.join(F.broadcast(right) if n <= BROADCAST_ROWS else right, on, how)
 
 
+#: Nodes with so many edges, and with a share of all edges, are hubs.
+HUB_EDGES, HUB_SHARE = 1000, 1000
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """``edges(a, b)`` of longs, in any direction, repeats allowed -> ``(node, component)``, the
     smallest node reachable. Labels hook to the smallest neighbouring label, then jump to their
     label's label, so long chains halve each round. All state stays in DataFrames; each round's
-    labels are a written table. A hub's edges are pre-aggregated before each shuffle."""
+    labels are a written table. Edges at a hub (a node with a thousandth of all edges, so there are
+    a thousand hubs each side at most) get its label by broadcast and so are never gathered; other
+    edges are joined by their node, and minima are taken before rows are shuffled."""
     both = edges.where("a <> b").select("a", "b").union(edges.where("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b")))
     both, drop_both = materialize(both.distinct())
     labels, drop = materialize(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("component")))
+    least = max(HUB_EDGES, both.count() // HUB_SHARE)
+    hubs = [r["b"] for r in both.groupBy("b").count().where(F.col("count") >= least).select("b").collect()]  # at most HUB_SHARE
+    at_hub = F.col("b").isin(hubs) if hubs else F.lit(False)
     while True:
         seen = labels.select(F.col("node").alias("b"), "component")
-        hooked = both.join(seen, "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
+        near = both.where(~at_hub).join(seen, "b")
+        if hubs:
+            near = near.unionByName(both.where(at_hub).join(F.broadcast(seen.where(at_hub)), "b"))
+        hooked = near.groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
         new = labels.join(hooked, "node").select("node", F.least("component", "near").alias("low"), F.col("component").alias("was"))
         up = labels.select(F.col("node").alias("low"), F.col("component").alias("top"))
         new = new.join(up, "low").select("node", F.least("low", "top").alias("component"), "was")

@@ -2,27 +2,37 @@
 
 1. Each text becomes its set of hashed word shingles (64 bits). Equal sets form a class, found by
    an aggregation on their digests, so copies cost nothing further.
-2. Classes are routed to blocks. If two sets of at most r shingles reach the threshold T (percent),
+2. Classes are routed by keys. If two sets of at most r shingles reach the threshold T (percent),
    they differ in at most k = 2r(100-T)/(100+T) shingles. Shingles are dealt by hash into more than
    k segments; a differing shingle spoils one segment, so some unspoiled segment is equal in both.
-   Each set sends a hash of each segment, small ones (of under three shingles, else under two, else
-   empty ones) left out as long as more than k remain, with k for the largest partner that the set
-   can have: of two sets, the one that leaves out more still sends an equal segment, which the
-   other then sends too. Sets are
-   dealt by size range, and a set near the next range's low end also sends that range's hashes.
-   Classes that meet in a hash are joined by connected components: links can be only inside one.
-3. Each component is joined with itself by signature trees. A node holds the OR-combined bitmap of
+   The hash of each segment is a key (empty ones are left out if more than k remain, with k for the
+   largest partner that the set can have). Sets are dealt by size range, and a set near the next
+   range's low end also has that range's keys.
+3. Each set then needs to keep only its k + 1 rarest keys, by the number of sets that have each, and
+   all that are as common as the last of them. Of two linked sets the one that keeps fewer still
+   keeps an equal one, which the other then keeps too. A set with more than k keys of its own keeps
+   none: nothing can link to it. So passages that many documents share seldom bring sets together.
+4. Sets that meet in a kept key are joined by connected components: links can be only inside one.
+   Each component is joined with itself by signature trees. A node holds the OR-combined bitmap of
    its sets' hashed shingles (with the most shingles of any one set at each bit) and their size
    range; two trees are traversed together, and a pair of nodes whose largest possible overlap is
    below what their sizes ask for is pruned. Pairs of leaves that remain are compared exactly.
-   Components of more than BLOCK sets are cut into blocks, joined pair by pair in separate tasks,
-   so no task holds more than two blocks, however large the component.
-4. Links (one spanning tree for each pair of blocks, and each class's number of links) give the
+   Components of more than TOKENS shingles are cut into blocks, joined pair by pair in separate
+   tasks, so no task holds more than two blocks, however large the component.
+5. Links (one spanning tree for each pair of blocks, and each class's number of links) give the
    final components.
 
+Counting every link of a large group of alike sets takes all pairs of its blocks. Where only the
+components are asked for (``links=False``), the first set of each kept key is compared with the
+key's other sets first: what that joins needs no further comparison, so a group of near copies
+costs its size. Trees then join only the sets of those keys that still hold several groups, and
+skip pairs of nodes that are of one group.
+
 Texts without words (null, empty, blank) are linked with nothing and are their own component. Rows
-with a null doc_id have a set size and a null component and take no part. Rows that share a doc_id
-count as one document. Extra columns are not read.
+with a null doc_id have a set size and a null component and take no part. Rows are the documents:
+rows that share a doc_id stand under one number, and each counts among the links of the others. An
+empty table gives no rows. Very long texts are read whole; a set is split over nothing, so one set
+has to fit a worker (8 bytes a shingle). Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -36,16 +46,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from fleetmill.llm.common import connected_components, join_small, map_texts, materialize, read
+from fleetmill.llm.common import Tables, connected_components, join_small, map_texts, read
 from fleetmill.shipping import ship
 
 THRESHOLD = 90
 WORDS = 3
-#: Sets in a block of a large component, and about as many in a group of small ones.
-BLOCK = 256
+#: Shingles in a block of a large component, and about as many in a group of small ones.
+TOKENS = 1 << 20
 LEAF, FANOUT = 16, 4
-#: A segment of fewer shingles says little.
-LEAST = 3
+#: Segments beyond k + 1, as a share of it: so many of the commonest need not be kept.
+SPARE = 0.25
 
 ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
@@ -82,16 +92,17 @@ def size_ranges(limit: int = 1 << 40) -> list[int]:
 TOPS = size_ranges()
 
 
-def segment_hashes(tokens: np.ndarray, threshold: int = THRESHOLD) -> np.ndarray:
-    """The keys by which a set meets all sets that it may link to."""
+def segment_keys(tokens: np.ndarray, threshold: int = THRESHOLD) -> list[tuple[int, np.ndarray]]:
+    """For each size range that the set takes part in: how many of its keys it has to keep, and the
+    keys by which it meets all sets that it may link to."""
     n = len(tokens)
     if not n:
-        return np.zeros(0, np.uint64)
+        return []
     first = bisect_left(TOPS, n)
     out = []
     for c in range(first, first + (2 if 100 * n >= threshold * (TOPS[first] + 1) else 1)):
         differ = 2 * TOPS[c] * (100 - threshold) // (100 + threshold)
-        segments = differ + 1 + (max(1, (differ + 1) // 8) if differ else 0)
+        segments = differ + 1 + (max(1, int((differ + 1) * SPARE)) if differ else 0)
         at = (tokens >> np.uint64(20)) % np.uint64(segments)
         order = np.argsort(at, kind="stable")
         counts = np.bincount(at.astype(np.int64), minlength=segments)
@@ -99,10 +110,10 @@ def segment_hashes(tokens: np.ndarray, threshold: int = THRESHOLD) -> np.ndarray
         full = np.flatnonzero(counts)
         sums[full] = np.add.reduceat(mixed(tokens[order] + ODD[2]), (np.cumsum(counts) - counts)[full])
         keys = mixed(sums + np.arange(segments, dtype=np.uint64) * ODD[0] + np.full(segments, c, np.uint64) * ODD[3])
-        own = (n + min(TOPS[c], 100 * n // threshold)) * (100 - threshold) // (100 + threshold)
-        least = next((t for t in range(LEAST, 0, -1) if (counts >= t).sum() > own), 0)
-        out.append(keys[counts >= least])
-    return np.concatenate(out)
+        need = (n + min(TOPS[c], 100 * n // threshold)) * (100 - threshold) // (100 + threshold) + 1
+        # without its empty segments if enough remain, else all of them
+        out.append((need, keys[full]) if len(full) >= need else (segments, keys))
+    return out
 
 
 class Node:
@@ -157,8 +168,30 @@ def compare(sets: list[np.ndarray], left: list[int], right: list[int], threshold
     return [(i, j) for x, i in enumerate(left) for j in (right[x + 1 :] if same else right) if linked[place[i], place[j]]]
 
 
-def join_trees(sets: list[np.ndarray], left: list[int], right: list[int] | None = None, threshold: int = THRESHOLD) -> list[tuple[int, int]]:
-    """All linked pairs between ``left`` and ``right``, or inside ``left`` if there is no right."""
+class Groups:
+    """Union-find over rows."""
+
+    def __init__(self, n: int):
+        self.root = list(range(n))
+
+    def top(self, i: int) -> int:
+        while self.root[i] != i:
+            self.root[i] = self.root[self.root[i]]
+            i = self.root[i]
+        return i
+
+    def join(self, i: int, j: int) -> None:
+        p, q = self.top(i), self.top(j)
+        self.root[max(p, q)] = min(p, q)
+
+    def one(self, rows: list[int]) -> bool:
+        first = self.top(rows[0])
+        return all(self.top(i) == first for i in rows)
+
+
+def join_trees(sets: list[np.ndarray], left: list[int], right: list[int] | None = None, threshold: int = THRESHOLD, groups: Groups | None = None) -> list[tuple[int, int]]:
+    """All linked pairs between ``left`` and ``right``, or inside ``left`` if there is no right. With
+    ``groups``, links join these, and leaves that are already of one group are not compared."""
     if not left or right == []:
         return []
     largest = max((len(sets[i]) for i in left + (right or [])), default=0)
@@ -173,7 +206,11 @@ def join_trees(sets: list[np.ndarray], left: list[int], right: list[int] | None
         if x is not y and not may_link(x, y, threshold):
             continue
         if x.members and y.members:
-            found += compare(sets, x.members, y.members, threshold)
+            if groups is None or not groups.one(x.members + y.members):
+                links = compare(sets, x.members, y.members, threshold)
+                found += links
+                for i, j in links if groups is not None else ():
+                    groups.join(i, j)
         elif x is y:
             todo += [(p, q) for k, p in enumerate(x.children) for q in x.children[k:]]
         elif x.members:
@@ -185,42 +222,79 @@ def join_trees(sets: list[np.ndarray], left: list[int], right: list[int] | None
     return found
 
 
-def _join_block(threshold: int):
+def _sets(pdf: pd.DataFrame) -> list[np.ndarray]:
+    return [np.asarray(x, np.int64).view(np.uint64) for x in pdf["tokens"]]
+
+
+def _join_block(threshold: int, counting: bool):
+    """One group of small components, or a pair of blocks of a large one: each set's root among the
+    sets linked there and, if ``counting``, its number of links. Sets that share a ``known`` group
+    count as joined."""
+
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        sets = [np.asarray(x, np.int64).view(np.uint64) for x in pdf["tokens"]]
-        nodes, copies, subs = pdf["node"].tolist(), pdf["copies"].tolist(), pdf["sub"].tolist()
-        links: list[tuple[int, int]] = []
+        pdf = pdf.drop_duplicates(["component", "node", "d1"], ignore_index=True)  # repeated rows
+        sets, nodes, copies, subs = _sets(pdf), pdf["node"].tolist(), pdf["copies"].tolist(), pdf["sub"].tolist()
         low, high = pdf["low"].iloc[0], pdf["high"].iloc[0]
+        groups = Groups(len(nodes))
+        for rows in pdf.groupby("known").indices.values():
+            for i in rows[1:].tolist():
+                groups.join(int(rows[0]), i)
+        own = None if counting else groups
+        links: list[tuple[int, int]] = []
         if low == high:
             for rows in pdf.groupby("component").indices.values():
-                links += join_trees(sets, rows.tolist(), None, threshold)
+                links += join_trees(sets, rows.tolist(), None, threshold, own)
         else:
-            links = join_trees(sets, [i for i, s in enumerate(subs) if s == low], [i for i, s in enumerate(subs) if s == high], threshold)
-        root = list(range(len(nodes)))
-
-        def top(i: int) -> int:
-            while root[i] != i:
-                root[i] = root[root[i]]
-                i = root[i]
-            return i
-
+            links = join_trees(sets, [i for i, s in enumerate(subs) if s == low], [i for i, s in enumerate(subs) if s == high], threshold, own)
         degree = [0] * len(nodes)
         for i, j in links:
             degree[i] += copies[j]
             degree[j] += copies[i]
-            p, q = top(i), top(j)
-            if p != q:
-                root[p if nodes[p] > nodes[q] else q] = q if nodes[p] > nodes[q] else p
-        return pd.DataFrame({"node": nodes, "root": [nodes[top(i)] for i in range(len(nodes))], "degree": degree})
+            groups.join(i, j)
+        return pd.DataFrame({"node": nodes, "root": [nodes[groups.top(i)] for i in range(len(nodes))], "degree": degree})
+
+    return run
+
+
+def _compare_first(threshold: int):
+    """Links between sets and the first set of a key that they are in."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.drop_duplicates(["first", "node", "d1"], ignore_index=True)  # repeated rows
+        sets, nodes, out = _sets(pdf), pdf["node"].tolist(), []
+        for rows in pdf.groupby("first").indices.values():
+            firsts = [i for i in rows.tolist() if nodes[i] == pdf["first"].iat[i]]
+            for i in rows.tolist():
+                for f in firsts:
+                    if nodes[i] != nodes[f] and 100 * min(len(sets[i]), len(sets[f])) >= threshold * max(len(sets[i]), len(sets[f])):
+                        both = len(np.intersect1d(sets[i], sets[f], assume_unique=True))
+                        if 100 * both >= threshold * (len(sets[i]) + len(sets[f]) - both):
+                            out.append((nodes[i], nodes[f]))
+        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
     return run
 
 
-def jaccard_components(docs: DataFrame, threshold: int = THRESHOLD, words: int = WORDS) -> DataFrame:
+def kept_keys(classes: DataFrame, tables: Tables) -> DataFrame:
+    """``classes(rep, ranges)`` -> ``(a, key)``: the keys that sets keep and share with another one."""
+    one = classes.select(F.col("rep").alias("a"), F.posexplode("ranges").alias("range", "r")).select("a", "range", "r.need", F.size("r.keys").alias("n_keys"), F.explode("r.keys").alias("key"))
+    # copies of one key in a partition meet before the shuffle, so a key of very many sets costs little
+    shared = tables.put(one.groupBy("key").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1"))
+    met = tables.put(join_small(one, shared, "key", "inner"))
+    of_set = W.partitionBy("a", "range")  # the keys of one set
+    ranked = met.withColumn("rank", F.rank().over(of_set.orderBy("sets"))).withColumn("met", F.count(F.lit(1)).over(of_set))
+    kept = tables.put(ranked.where(F.col("rank") <= F.col("need") - (F.col("n_keys") - F.col("met"))).select("a", "key").distinct())
+    first = tables.put(kept.groupBy("key").agg(F.min("a").alias("b"), F.count(F.lit(1)).alias("sets")).where("sets > 1").drop("sets"))
+    return tables.put(join_small(kept, first, "key", "inner"))
+
+
+def jaccard_components(docs: DataFrame, threshold: int = THRESHOLD, words: int = WORDS, links: bool = True) -> DataFrame:
     """``docs(doc_id long, text)`` -> ``(doc_id, n_shingles, component_id, n_links)``: the distinct
-    shingles, the smallest doc_id reachable by links, and the documents linked directly."""
+    shingles, the smallest doc_id reachable by links, and the documents linked directly (left out
+    without ``links``)."""
     spark = docs.sparkSession
     ship(spark)
+    tables = Tables()
 
     def hash_rows(cols: dict[str, list]) -> dict[str, list]:
         sets = [shingle_set(t, words) for t in cols["text"]]
@@ -229,50 +303,83 @@ def jaccard_components(docs: DataFrame, threshold: int = THRESHOLD, words: int =
             "n": [len(s) for s in sets],
             "d1": [int(s.sum().view(np.int64)) if len(s) else 0 for s in sets],
             "d2": [int(mixed(s).sum().view(np.int64)) if len(s) else 0 for s in sets],
-            "keys": [segment_hashes(s, threshold).view(np.int64) for s in sets],
+            "ranges": [[{"need": need, "keys": keys.view(np.int64)} for need, keys in segment_keys(s, threshold)] for s in sets],
         }
 
     texts = docs.select("doc_id", "text")
-    hashed, _ = materialize(map_texts(texts, hash_rows, "doc_id long, n long, d1 long, d2 long, keys array<long>"))
+    hashed = tables.put(map_texts(texts, hash_rows, "doc_id long, n long, d1 long, d2 long, ranges array<struct<need:int,keys:array<long>>>"))
     digest = ["n", "d1", "d2"]
-    classes, _ = materialize(hashed.where("n > 0 and doc_id is not null").groupBy(*digest).agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("keys").alias("keys")))
-
-    meeting = classes.select(F.col("rep").alias("a"), F.explode("keys").alias("key")).withColumn("b", F.min("a").over(W.partitionBy("key")))
-    blocks = connected_components(meeting.where("a <> b").select("a", "b").distinct())
-
-    members = classes.drop("keys").withColumnRenamed("rep", "node").join(blocks, "node")
-    sizes = blocks.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
-    members = members.join(sizes, "component").withColumn("parts", F.ceil(F.col("size") / BLOCK).cast("long"))
+    classes = tables.put(hashed.where("n > 0 and doc_id is not null").groupBy(*digest).agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("ranges").alias("ranges")))
+    meeting = kept_keys(classes, tables)
+    stars = tables.put(meeting.where("a <> b").select("a", "b").distinct())
+
+    def with_sets(rows: DataFrame, schema: str, total: int) -> DataFrame:
+        """Rows of (node, n, d1, …) with the node's shingles, hashed again from its text."""
+        names = [c.split()[0] for c in schema.split(", ")]
+
+        def run(cols: dict[str, list]) -> dict[str, list]:
+            sets = [shingle_set(t, words) for t in cols["text"]]
+            own = [k for k, s in enumerate(sets) if len(s) == cols["n"][k] and int(s.sum().view(np.int64)) == cols["d1"][k]]
+            return {c: [cols[c][k] for k in own] for c in names} | {"tokens": [sets[k].view(np.int64) for k in own]}
+
+        joined = join_small(texts.withColumnRenamed("doc_id", "node"), rows, "node", "inner", total)
+        return map_texts(joined, run, schema + ", tokens array<long>")
+
+    slim = classes.select(F.col("rep").alias("node"), "n", "d1", "copies")
+    known = None
+    if not links:
+        ends = tables.put(stars.select(F.col("a").alias("node")).union(stars.select(F.col("b").alias("node"))).distinct().join(slim, "node"))
+        sets = tables.put(with_sets(ends, "node long, d1 long", ends.count()))
+        # a first set stands in as many parts as its key's other sets need, of about TOKENS shingles each
+        spokes = stars.select(F.col("b").alias("first"), F.col("a").alias("node")).join(ends.select("node", "n"), "node")
+        parts = spokes.groupBy("first").agg(F.ceil(F.sum("n") / TOKENS).cast("long").alias("parts"), F.sum("n").alias("size"))
+        parts = tables.put(parts)
+        groups = max(1, (parts.agg(F.sum("size")).first()[0] or 0) // TOKENS)
+        group = F.when(F.col("parts") == 1, F.pmod(F.xxhash64("first"), F.lit(groups))).otherwise(F.xxhash64("first", "part"))
+        dealt = spokes.select("first", "node").join(parts, "first").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
+        own = parts.select("first", F.col("first").alias("node"), "parts", "size", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
+        rows = dealt.select("first", "node", "parts", "part").unionByName(own.select("first", "node", "parts", "part")).withColumn("group", group)
+        checked = rows.join(sets, "node").groupBy("group", F.when(F.col("parts") > 1, F.struct("first", "part"))).applyInPandas(_compare_first(threshold), "a long, b long")
+        known = tables.put(connected_components(tables.put(checked)))
+        # what is not yet joined: keys whose sets are of several groups
+        of_known = lambda c: F.coalesce("component", c)
+        labelled = tables.put(meeting.join(known.withColumnRenamed("node", "a"), "a", "left").select("a", "key", of_known("a").alias("label")))
+        several = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+        open_keys = tables.put(join_small(labelled, tables.put(several.select("key", "low")), "key", "inner"))
+        blocks = connected_components(open_keys.select(F.col("label").alias("a"), F.col("low").alias("b")).distinct())
+        nodes = open_keys.select(F.col("a").alias("node"), F.col("label").alias("known")).distinct()
+        members = slim.join(nodes, "node").join(blocks.withColumnRenamed("node", "known"), "known")
+    else:
+        members = slim.join(connected_components(stars), "node").withColumn("known", F.col("node"))
+
+    sizes = tables.put(members.groupBy("component").agg(F.sum("n").alias("size")))
+    members = members.join(sizes, "component").withColumn("parts", F.ceil(F.col("size") / TOKENS).cast("long"))
     members = members.withColumn("sub", F.pmod(F.xxhash64("node"), F.col("parts")))
-    members, _ = materialize(members.select("component", "node", "n", "d1", "copies", "parts", "sub"))
-    total = members.count()
-
-    def set_rows(cols: dict[str, list]) -> dict[str, list]:
-        sets = [shingle_set(t, words) for t in cols["text"]]
-        own = [k for k, s in enumerate(sets) if len(s) == cols["n"][k] and int(s.sum().view(np.int64)) == cols["d1"][k]]
-        out = {name: [cols[name][k] for k in own] for name in ("component", "node", "copies", "parts", "sub")}
-        return out | {"tokens": [sets[k].view(np.int64) for k in own]}
-
-    with_text = join_small(texts.withColumnRenamed("doc_id", "node"), members, "node", "inner", total)
-    sets = map_texts(with_text, set_rows, "component long, node long, copies long, parts long, sub long, tokens array<long>")
+    members = tables.put(members.select("component", "node", "known", "n", "d1", "copies", "parts", "sub"))
+    total, shingles = members.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    sets = with_sets(members, "component long, node long, known long, d1 long, copies long, parts long, sub long", total)
     pairs = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     pairs = pairs.withColumns({"low": F.least("sub", "other"), "high": F.greatest("sub", "other")})
     # small components share groups, so that a group is worth its call
-    group = F.when(F.col("parts") == 1, F.pmod(F.xxhash64("component"), F.lit(max(1, total // BLOCK)))).otherwise(F.xxhash64("component", "low", "high"))
-    joined = pairs.withColumn("group", group).groupBy("group", F.col("parts") == 1, F.when(F.col("parts") > 1, F.struct("component", "low", "high"))).applyInPandas(_join_block(threshold), "node long, root long, degree long")
-    links, _ = materialize(joined.groupBy("node", "root").agg(F.sum("degree").alias("degree")))
-
-    found = connected_components(links.select(F.col("node").alias("a"), F.col("root").alias("b")))
-    degrees = links.groupBy("node").agg(F.sum("degree").alias("degree"))
-    of_class = classes.drop("keys").join(found.withColumnRenamed("node", "rep"), "rep", "left").join(degrees.withColumnRenamed("node", "rep"), "rep", "left")
-    out = hashed.drop("keys").join(of_class, digest, "left")
-    alone = F.col("n") == 0
-    return out.select(
-        "doc_id",
-        F.col("n").alias("n_shingles"),
-        F.when(alone | F.col("doc_id").isNull(), F.col("doc_id")).otherwise(F.coalesce("component", "rep")).alias("component_id"),
-        F.when(alone | F.col("doc_id").isNull(), 0).otherwise(F.col("copies") - 1 + F.coalesce("degree", F.lit(0))).alias("n_links"),
-    )
+    group = F.when(F.col("parts") == 1, F.pmod(F.xxhash64("component"), F.lit(max(1, shingles // TOKENS)))).otherwise(F.xxhash64("component", "low", "high"))
+    joined = pairs.withColumn("group", group).groupBy("group", F.when(F.col("parts") > 1, F.struct("component", "low", "high"))).applyInPandas(_join_block(threshold, links), "node long, root long, degree long")
+    joined = tables.put(joined.groupBy("node", "root").agg(F.sum("degree").alias("degree")))
+
+    found_edges = joined.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    if known is not None:
+        found_edges = found_edges.unionByName(known.select(F.col("node").alias("a"), F.col("component").alias("b")))
+    found = connected_components(found_edges)
+    degrees = joined.groupBy("node").agg(F.sum("degree").alias("degree"))
+    of_class = classes.drop("ranges").join(found.withColumnRenamed("node", "rep"), "rep", "left").join(degrees.withColumnRenamed("node", "rep"), "rep", "left")
+    out = hashed.drop("ranges").join(of_class, digest, "left")
+    alone = (F.col("n") == 0) | F.col("doc_id").isNull()
+    columns = {
+        "doc_id": F.col("doc_id"),
+        "n_shingles": F.col("n"),
+        "component_id": F.when(alone, F.col("doc_id")).otherwise(F.coalesce("component", "rep")),
+        "n_links": F.when(alone, 0).otherwise(F.col("copies") - 1 + F.coalesce("degree", F.lit(0))),
+    }
+    return tables.finish(out.select(*[c.alias(name) for name, c in columns.items() if links or name != "n_links"]))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
