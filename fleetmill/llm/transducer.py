@@ -14,12 +14,16 @@ from __future__ import annotations
 
 import numpy as np
 
-#: States that a worker keeps before it compiles anew.
-MAX_STATES = 250_000
+#: States, and bytes of the table of transitions, that a worker keeps before it compiles anew.
+MAX_STATES, MAX_BYTES = 250_000, 256 << 20
 #: Least characters of a lane (it ends at the next reset).
 LANE = 256
 
 
+class Overflow(Exception):
+    """The table of transitions would outgrow its bound: the input is to be run in smaller parts."""
+
+
 class MergeTransducer:
     """``scores``: token -> priority, the highest merges first, the leftmost among equals.
     ``classes``: for each character that may occur in a longer token its class, as ``alphabet``
@@ -42,6 +46,7 @@ class MergeTransducer:
         self.columns = np.full(len(self.chars), -1, np.int32)  # classes get a column when first met
         self.by_column: list[str] = []
         self.moves = np.full((1024, 32), -1, np.int32)  # next state * 256 + emitted + 128
+        self.entered: dict[str, set[int]] = {}  # by the character that leads there
         self.start = self._state((("", None, 0),))
 
     def _state(self, entries: tuple) -> int:
@@ -53,6 +58,8 @@ class MergeTransducer:
         return found
 
     def _grow(self, rows: int, cols: int) -> None:
+        if 4 * rows * cols > MAX_BYTES:
+            raise Overflow
         new = np.full((rows, cols), -1, np.int32)
         new[: self.moves.shape[0], : self.moves.shape[1]] = self.moves
         self.moves = new
@@ -111,7 +118,9 @@ class MergeTransducer:
             raise AssertionError("no token ends here")
         new = [(g, before if self._matters(before, g) else None, fewer - emitted) for begun, before, fewer in self.entries[state] if (g := begun + char) in self.prefixes]
         new.append(("", token if char in self.growing else None, 0))
-        return self._state(tuple(new)), emitted
+        to = self._state(tuple(new))
+        self.entered.setdefault(char, set()).add(to)
+        return to, emitted
 
     def _compile(self, states: np.ndarray, columns: np.ndarray) -> None:
         width = self.moves.shape[1]
@@ -132,7 +141,7 @@ class MergeTransducer:
     def run(self, classes: np.ndarray, resets: np.ndarray) -> np.ndarray:
         """``classes``: of all characters of a batch; ``resets``: whether the tokenization starts
         anew at each (the first has to). The tokens emitted at each character."""
-        if len(self.entries) > MAX_STATES:
+        if len(self.entries) > MAX_STATES or 2 * self.moves.nbytes > MAX_BYTES:
             self._reset()
         n = len(classes)
         out = np.zeros(n, np.int8)
@@ -158,3 +167,41 @@ class MergeTransducer:
             out[where] = (move & 255) - 128
             state[:k] = move >> 8
         return out
+
+    def maps(self, blocks: list[np.ndarray], before: list[str | None]) -> list[dict[int, tuple[int, int]]]:
+        """For each block of classes its map: entry state -> exit state, tokens emitted. ``before`` is
+        the character ahead of each (None: the block begins at ``start``). The entries are all states
+        that this character is known to lead to, whatever text led there; blocks don't wait for each
+        other, and all run side by side. Entries that reach the same state go on as one."""
+        owner, state, members = [], [], []  # of each lane: its block, its state, (entry, tokens ahead)
+        for b, char in enumerate(before):
+            for entry in [self.start] if char is None else sorted(self.entered.get(char, {self.start})):
+                owner.append(b)
+                state.append(entry)
+                members.append([(entry, 0)])
+        tokens = [0] * len(owner)
+        chars = [[self.chars[k] for k in block.tolist()] for block in blocks]
+        live, known = list(range(len(owner))), {}
+        for p in range(max(map(len, chars), default=0)):
+            at: dict[tuple[int, int], int] = {}
+            kept = []
+            for lane in live:
+                if p >= len(chars[owner[lane]]):
+                    continue
+                key = (state[lane], chars[owner[lane]][p])
+                if (move := known.get(key)) is None:
+                    move = known[key] = self.step(*key)
+                state[lane] = move[0]
+                tokens[lane] += move[1]
+                first = at.setdefault((owner[lane], move[0]), lane)
+                if first == lane:
+                    kept.append(lane)
+                else:
+                    members[first] += [(entry, n + tokens[lane] - tokens[first]) for entry, n in members[lane]]
+                    members[lane] = []
+            live = kept
+        out: list[dict[int, tuple[int, int]]] = [{} for _ in blocks]
+        for lane, own in enumerate(members):
+            for entry, n in own:
+                out[owner[lane]][entry] = (state[lane], tokens[lane] + n)
+        return out
