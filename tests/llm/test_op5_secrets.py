@@ -2,8 +2,11 @@ import base64
 import gzip
 import hashlib
 import re
+import subprocess
+import sys
 import urllib.parse
 import zlib
+from pathlib import Path
 
 import pytest
 
@@ -38,6 +41,51 @@ def test_cycles_and_bombs_end():
     assert s.scan(b64(zlib.compress(b"z" * 5_000_000)))[1] == []
 
 
+def kinds(text):
+    return {k for _, _, k in s.scan(text)[1]}
+
+
+def test_compressed_layers_are_read_to_their_end():
+    for filler in (b"some words, " * 6_000_000, b"z" * 10_000_000, bytes(70_000_000)):
+        assert kinds(b64(zlib.compress(filler + b" " + SECRET.encode() + b" ."))) == {"compressed/assign"}
+    two = gzip.compress(b"first member, ") + gzip.compress(SECRET.encode())
+    assert kinds(b64(two)) == {"compressed/assign"}
+    assert kinds(b64(zlib.compress(b"\x00\xff\x01" * 50 + SECRET.encode() + b"\xfe\x02" * 50))) == {"compressed/assign"}
+
+
+def test_nesting_has_no_depth():
+    x = SECRET.encode()
+    for _ in range(60):
+        x = zlib.compress(x)
+    assert kinds(b64(x)) == {"compressed/assign"}
+    y = SECRET
+    for k in range(12):
+        y = b64(zlib.compress(y.encode()) if k % 2 else y)
+    assert {k.split("/")[1] for k in kinds(y)} == {"assign"}
+
+
+def test_short_compressed_runs():
+    assert kinds("a " + b64(zlib.compress(b"0" * 32)) + " b") == {"compressed/hex"}
+    for shift in range(3):
+        glued = b64(b"q" * shift + zlib.compress(b"AKIA" + b"A" * 12))
+        assert kinds(f"a {glued} b") == {"compressed/access"}
+
+
+def test_nested_bombs_take_little_memory_and_are_reported():
+    bomb = zlib.compress(zlib.compress(bytes(1 << 28), 9) * 8, 9)
+    code = f"""
+import resource, sys
+from fleetmill.llm import op5_secrets as s
+s.GRANTED = 1 << 20
+found = s.scan(" ".join([sys.stdin.read()] * 100))[1]
+assert len(found) == 100 and {{k for _, _, k in found}} == {{"compressed/unread"}}
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)
+"""
+    out = subprocess.run([sys.executable, "-c", code], input=b64(bomb), capture_output=True, text=True, cwd=Path(__file__).resolve().parents[2], timeout=300)
+    assert out.returncode == 0, out.stderr
+    assert int(out.stdout) < 500
+
+
 def by_hand(text):
     out = []
     for m in re.finditer(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text, re.I | re.A):
