@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fleetmill.config import DEFAULT, Settings
 from fleetmill.functions import classify, geo, time
 from fleetmill.functions.classify import ratio
-from fleetmill.operators.joins import broadcast_if_small, nearest_join
+from fleetmill.operators.joins import broadcast_if_small, nearest_on_clock
 from fleetmill.operators.sequences import with_previous
 
 
@@ -44,11 +44,11 @@ def instantaneous_speed(positions: DataFrame, cfg: Settings = DEFAULT, order: tu
 def speed_hourly(speeds: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
     grouped = _features(speeds, "event_ts", cfg).groupBy(F.window("event_ts", cfg.gold_window), "h3_index", "line_code", "line_number", "time_period", "is_weekday", "_event_date")
     out = grouped.agg(
-        F.count(F.lit(1)).alias("sample_count"),
+        F.count(F.lit(1)).alias("observation_count"),
         F.avg("speed_kmh").alias("avg_speed_kmh"),
         F.stddev("speed_kmh").alias("stddev_speed_kmh"),
         _percentiles("speed_kmh", (0.1, 0.5, 0.9)).alias("p"),
-        F.avg("distance_m").alias("avg_distance_m"),
+        F.avg("distance_m").alias("avg_segment_distance_m"),
     )
     out = out.withColumns({"p10_speed_kmh": F.col("p")[0], "median_speed_kmh": F.col("p")[1], "p90_speed_kmh": F.col("p")[2], "congestion_level": classify.congestion(F.col("avg_speed_kmh"))})
     return _bounds(out.drop("p"))
@@ -68,7 +68,7 @@ def headway_metrics(pairs: DataFrame, cfg: Settings = DEFAULT, window: str | Non
     grouped = _features(pairs, "arrival_time", cfg).groupBy(F.window("arrival_time", window or cfg.gold_window), "stop_id", "line_code", "route_id", "time_period", "is_weekday", "_event_date")
     h = F.col("headway_seconds")
     out = grouped.agg(
-        F.count(F.lit(1)).alias("headway_count"), F.avg(h).alias("avg_headway_seconds"), F.stddev(h).alias("stddev_headway_seconds"),
+        F.count(F.lit(1)).alias("arrival_count"), F.avg(h).alias("avg_headway_seconds"), F.stddev(h).alias("stddev_headway_seconds"),
         F.min(h).alias("min_headway_seconds"), F.max(h).alias("max_headway_seconds"), F.percentile_approx(h, 0.5).alias("median_headway_seconds"),
     )
     out = out.withColumn("headway_cv", ratio(F.col("stddev_headway_seconds"), F.col("avg_headway_seconds")))
@@ -78,16 +78,19 @@ def headway_metrics(pairs: DataFrame, cfg: Settings = DEFAULT, window: str | Non
 # on-time performance
 
 
+DAY_S = 86_400
+
+
 def match_schedule(arrivals: DataFrame, stop_times: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
-    """Each arrival with the scheduled call at its stop, on its route, that is nearest in time on
-    the arrival's local service day, and the delay in seconds. A schedule clock that can't be read
-    matches nothing, so no arrival counts as late for want of one."""
-    calls = stop_times.select("stop_id", "route_id", "trip_id", time.service_seconds(F.col("arrival_time")).alias("scheduled_s")).where("scheduled_s is not null")
+    """Each arrival with the scheduled call at its stop, on its route, that is nearest in time, and
+    the delay in seconds. Clocks go round: a call at 24:10 of the service day before, or at 00:05 of
+    the next one, is near an arrival about midnight. A schedule clock that can't be read matches
+    nothing, so no arrival counts as late for want of one."""
+    calls = stop_times.select("stop_id", "route_id", "trip_id", (time.service_seconds(F.col("arrival_time")) % DAY_S).alias("scheduled_s")).where("scheduled_s is not null")
     local = time.local_time(F.col("arrival_time"), cfg.zone)
-    seconds = F.hour(local) * 3600 + F.minute(local) * 60 + F.second(local)
-    timed = arrivals.withColumn("_arrival_s", seconds)
-    near = nearest_join(timed, calls, ["stop_id", "route_id"], F.col("_arrival_s") - F.col("scheduled_s"), ["vehicle_id", "stop_id", "arrival_time"], ["trip_id"])
-    return near.withColumn("delay_seconds", F.col("_gap").cast("long")).drop("_gap", "_arrival_s").withColumn("on_time_status", classify.on_time_status(F.col("delay_seconds"), cfg))
+    timed = arrivals.withColumn("_arrival_s", F.hour(local) * 3600 + F.minute(local) * 60 + F.second(local))
+    near = nearest_on_clock(timed, calls, ["stop_id", "route_id"], "_arrival_s", "scheduled_s", "trip_id", DAY_S, "delay_seconds")
+    return near.drop("_arrival_s").withColumn("delay_seconds", F.col("delay_seconds").cast("long")).withColumn("on_time_status", classify.on_time_status(F.col("delay_seconds"), cfg))
 
 
 def on_time_hourly(matched: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
@@ -98,7 +101,7 @@ def on_time_hourly(matched: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
         F.count_if(status == "late").alias("late_count"), F.avg("delay_seconds").alias("avg_delay_seconds"), _percentiles("delay_seconds", (0.5, 0.95)).alias("p"),
     )
     pct = F.round(F.col("on_time_count").cast("double") / F.col("total_arrivals") * 100, 2)
-    return _bounds(out.withColumns({"p50_delay_seconds": F.col("p")[0], "p95_delay_seconds": F.col("p")[1], "on_time_pct": pct}).drop("p"))
+    return _bounds(out.withColumns({"median_delay_seconds": F.col("p")[0], "p95_delay_seconds": F.col("p")[1], "on_time_pct": pct}).drop("p"))
 
 
 # fleet utilization
@@ -106,26 +109,28 @@ def on_time_hourly(matched: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
 
 def actual_fleet(positions: DataFrame, date: str) -> DataFrame:
     return positions.where(F.col("_event_date") == date).groupBy("line_code", "line_number").agg(
-        F.count_distinct("vehicle_id").alias("actual_vehicles"), F.count(F.lit(1)).alias("position_reports"), F.min("event_ts").alias("first_seen"), F.max("event_ts").alias("last_seen")
+        F.count_distinct("vehicle_id").alias("actual_vehicles"), F.count(F.lit(1)).alias("total_observations"), F.min("event_ts").alias("first_seen"), F.max("event_ts").alias("last_seen")
     )
 
 
 def planned_trips(stop_times: DataFrame, routes: DataFrame) -> DataFrame:
     per_route = stop_times.groupBy("route_id").agg(F.count_distinct("trip_id").alias("planned_trips"))
-    dim = routes.select("route_id", "line_code", "route_short_name")
+    dim = routes.select("route_id", "line_code", "route_short_name", "route_long_name")
     return per_route.join(broadcast_if_small(dim), "route_id")
 
 
 def fleet_utilization(actual: DataFrame, planned: DataFrame, date: str) -> DataFrame:
-    """Lines on either side, each with both counts (0 where one is missing)."""
-    p = planned.groupBy(F.col("line_code").alias("p_line")).agg(F.sum("planned_trips").alias("planned_trips"), F.min("route_short_name").alias("route_short_name"))
+    """Lines on either side, each once with both counts (0 where one is missing); a line of several
+    routes has the trips of all and the names of the first."""
+    names = F.min_by(F.struct("route_short_name", "route_long_name"), "route_id")
+    p = planned.groupBy(F.col("line_code").alias("p_line")).agg(F.sum("planned_trips").alias("planned_trips"), names.alias("names"))
     both = actual.join(p, F.col("line_code") == F.col("p_line"), "full_outer")
     out = both.select(
-        F.coalesce("line_code", "p_line").alias("line_code"), F.coalesce("line_number", "route_short_name").alias("line_number"), F.coalesce("actual_vehicles", F.lit(0)).alias("actual_vehicles"),
-        F.coalesce("planned_trips", F.lit(0)).alias("planned_trips"), F.coalesce("position_reports", F.lit(0)).alias("position_reports"), "first_seen", "last_seen",
+        F.coalesce("line_code", "p_line").alias("line_code"), F.coalesce("line_number", "names.route_short_name").alias("line_number"), F.col("names.route_long_name").alias("route_long_name"),
+        F.coalesce("actual_vehicles", F.lit(0)).alias("actual_vehicles"), F.coalesce("planned_trips", F.lit(0)).alias("planned_trips"), F.coalesce("total_observations", F.lit(0)).alias("total_observations"), "first_seen", "last_seen",
     )
     out = out.withColumn("utilization_ratio", ratio(F.col("actual_vehicles"), F.col("planned_trips")))
-    return out.withColumns({"fleet_status": classify.fleet_status(F.col("actual_vehicles"), F.col("utilization_ratio")), "_event_date": F.lit(date)})
+    return out.withColumns({"status": classify.fleet_status(F.col("actual_vehicles"), F.col("utilization_ratio")), "_event_date": F.lit(date)})
 
 
 # coverage equity
@@ -135,7 +140,7 @@ def service_frequency(positions: DataFrame, date: str, approximate: bool = False
     distinct = F.approx_count_distinct if approximate else F.count_distinct
     day = positions.where(F.col("_event_date") == date).withColumn("time_period", classify.time_period(F.col("hour_of_day")))
     return day.groupBy("h3_index", "hour_of_day", "time_period", "is_weekday").agg(
-        distinct("vehicle_id").alias("unique_vehicles"), F.count(F.lit(1)).alias("position_count"), distinct("line_code").alias("unique_lines")
+        distinct("vehicle_id").alias("unique_vehicles"), F.count(F.lit(1)).alias("total_observations"), distinct("line_code").alias("unique_routes")
     )
 
 
@@ -149,5 +154,5 @@ def census_by_cell(census: DataFrame) -> DataFrame:
 
 
 def coverage_equity(service: DataFrame, cells: DataFrame, date: str) -> DataFrame:
-    out = service.join(cells, "h3_index", "left").withColumn("vehicles_per_1k_pop", F.when(F.col("population") > 0, F.col("unique_vehicles").cast("double") / F.col("population") * 1000))
-    return out.withColumns({"equity_score": classify.equity(F.col("income_bracket"), F.col("vehicles_per_1k_pop")), "_event_date": F.lit(date)})
+    out = service.join(cells, "h3_index", "left").withColumn("vehicles_per_1k_population", F.when(F.col("population") > 0, F.col("unique_vehicles").cast("double") / F.col("population") * 1000))
+    return out.withColumns({"service_equity_score": classify.equity(F.col("income_bracket"), F.col("vehicles_per_1k_population")), "_event_date": F.lit(date)})

@@ -39,7 +39,7 @@ def _pos_dedup(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _line_codes(spark: SparkSession, d: str) -> DataFrame:
-    routes = tb.routes(spark, d).where("route_id like '%-10'").select("route_id")
+    routes = tb.routes(spark, d).select("route_id")
     both = routes.union(tb.read(spark, d, "nation").select("n_name"))
     return both.select("route_id", silver.line_code("route_id").alias("line_code"))
 
@@ -51,12 +51,9 @@ def _haversine(spark: SparkSession, d: str) -> DataFrame:
     return pairs.select("event_id", F.round(geo.haversine_m(F.col("latitude"), F.col("longitude"), F.col("stop_lat"), F.col("stop_lon")), 3).alias("distance_m"))
 
 
-def _stop_arrivals(grid: bool) -> Callable[[SparkSession, str], DataFrame]:
-    def run(spark: SparkSession, d: str) -> DataFrame:
-        found = silver.stop_arrivals(silver.filter_box(tb.positions(spark, d)), tb.stops(spark, d), grid=grid)
-        return found.select("vehicle_id", "stop_id", "line_code", "arrival_time", F.round("distance_to_stop_m", 3).alias("distance_to_stop_m"))
-
-    return run
+def _stop_arrivals(spark: SparkSession, d: str) -> DataFrame:
+    found = silver.stop_arrivals(silver.filter_box(tb.positions(spark, d)), tb.stops(spark, d))
+    return found.select("vehicle_id", "stop_id", "line_code", "arrival_time", F.round("distance_to_stop_m", 3).alias("distance_to_stop_m"))
 
 
 def _windows(length: str, mean: bool = False) -> Callable[[SparkSession, str], DataFrame]:
@@ -69,7 +66,7 @@ def _windows(length: str, mean: bool = False) -> Callable[[SparkSession, str], D
     return run
 
 
-SPEED = {"avg_speed_kmh": 4, "stddev_speed_kmh": 4, "p10_speed_kmh": 4, "median_speed_kmh": 4, "p90_speed_kmh": 4, "avg_distance_m": 3}
+SPEED = {"avg_speed_kmh": 4, "stddev_speed_kmh": 4, "p10_speed_kmh": 4, "median_speed_kmh": 4, "p90_speed_kmh": 4, "avg_segment_distance_m": 3}
 WEEK = (tb.FIRST, tb.LAST)
 
 
@@ -91,12 +88,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "worst_corridors": lambda s, d: dashboards.worst_corridors(tb.speed_hourly(s, d), *WEEK),
         "congestion_map": lambda s, d: dashboards.congestion_map(tb.speed_hourly(s, d), tb.DAY, f"{tb.DAY} 12:00:00"),
         "headways": lambda s, d: tb.headways(s, d).select("event_id", "headway_seconds"),
-        "headway_hourly": lambda s, d: _rounded(tb.headway_daily(s, d), avg_headway_seconds=4, stddev_headway_seconds=4, headway_cv=5),
-        "worst_bunching": lambda s, d: dashboards.worst_bunching(tb.headway_daily(s, d), *WEEK),
-        "severity_distribution": lambda s, d: dashboards.severity_distribution(tb.headway_daily(s, d), *WEEK),
-        "headway_trend_param": lambda s, d: dashboards.headway_trend(tb.headway_daily(s, d), 1, *WEEK),
-        "stop_arrivals_grid": _stop_arrivals(True),
-        "stop_arrivals_cross": _stop_arrivals(False),
+        "headway_hourly": lambda s, d: _rounded(tb.headway_hourly(s, d), avg_headway_seconds=4, stddev_headway_seconds=4, headway_cv=5),
+        "worst_bunching": lambda s, d: dashboards.worst_bunching(tb.headway_hourly(s, d), *WEEK),
+        "severity_distribution": lambda s, d: dashboards.severity_distribution(tb.headway_hourly(s, d), *WEEK),
+        "headway_trend_param": lambda s, d: dashboards.headway_trend(tb.headway_hourly(s, d), 1, *WEEK),
+        "stop_arrivals_grid": _stop_arrivals,
         "schedule_with_route": lambda s, d: silver.stop_times_table(tb.trip_calls(s, d), tb.trips(s, d)),
         "nearest_schedule": lambda s, d: tb.matched(s, d).select("event_id", "stop_id", "trip_id", "delay_seconds"),
         "on_time_class": lambda s, d: tb.matched(s, d).groupBy("on_time_status").agg(F.count(F.lit(1)).alias("arrivals")),
@@ -109,14 +105,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fleet_utilization": lambda s, d: _rounded(tb.fleet(s, d), utilization_ratio=5),
         "fleet_status": lambda s, d: dashboards.fleet_status(tb.fleet(s, d), tb.DAY),
         "fleet_underserved": lambda s, d: dashboards.fleet_underserved(tb.fleet(s, d), tb.DAY),
-        "fleet_trend": lambda s, d: dashboards.fleet_trend(tb.fleet(s, d), *WEEK),
+        "fleet_trend": lambda s, d: dashboards.fleet_trend(tb.fleet_week(s, d), *WEEK),
         "fleet_full": lambda s, d: dashboards.fleet_full(tb.fleet(s, d), tb.DAY),
         "service_frequency": lambda s, d: gold.service_frequency(tb.enriched(s, d), tb.DAY),
         "census_brackets": lambda s, d: _rounded(silver.census_table(tb.census(s, d)), population_density=4).select("tract_code", "h3_index", "population_density", "income_bracket"),
         "census_hex": lambda s, d: _rounded(gold.census_by_cell(silver.census_table(tb.census(s, d))), avg_income_brl=4, population_density=4),
-        "coverage_equity": lambda s, d: _rounded(tb.equity(s, d), population=1, households=1, avg_income_brl=4, population_density=4, vehicles_per_1k_pop=5),
+        "coverage_equity": lambda s, d: _rounded(tb.equity(s, d), population=1, households=1, avg_income_brl=4, population_density=4, vehicles_per_1k_population=5),
         "equity_overview": lambda s, d: dashboards.equity_overview(tb.equity(s, d), tb.DAY),
-        "equity_scatter": lambda s, d: _rounded(dashboards.equity_scatter(tb.equity(s, d), tb.DAY), population=1, avg_income_brl=4, vehicles_per_1k_pop=5),
+        "equity_scatter": lambda s, d: _rounded(dashboards.equity_scatter(tb.equity(s, d), tb.DAY), population=1, avg_income_brl=4, vehicles_per_1k_population=5),
         "equity_underserved": lambda s, d: dashboards.equity_underserved(tb.equity(s, d), tb.DAY),
         "equity_by_hour": lambda s, d: _rounded(dashboards.equity_by_hour(tb.equity(s, d), tb.DAY), avg_vehicles_per_1k=5, avg_lines=5),
         "window_5min": _windows("5 minutes"),

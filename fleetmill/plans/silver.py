@@ -31,8 +31,10 @@ def flatten_positions(responses: DataFrame, ingested: str = "current_timestamp()
 
 
 def with_lineage(raw: DataFrame) -> DataFrame:
-    """Bronze: when and from which file a row came. Needs a file source."""
-    return raw.select("*", F.current_timestamp().alias("_bronze_ingested_at"), F.to_date(F.current_timestamp()).alias("_event_date"), F.col("_metadata.file_path").alias("_source_file"))
+    """Bronze: when and from which file a row came, and the date of its event (null if that isn't
+    readable). Needs a file source."""
+    day = F.to_date(F.try_to_timestamp("event_timestamp"))
+    return raw.select("*", F.current_timestamp().alias("_bronze_ingested_at"), day.alias("_event_date"), F.col("_metadata.file_path").alias("_source_file"))
 
 
 def parse_timestamps(df: DataFrame) -> DataFrame:
@@ -66,7 +68,9 @@ def dedup_positions(df: DataFrame) -> DataFrame:
 
 
 def stop_matches(positions: DataFrame, stops: DataFrame, cfg: Settings = DEFAULT, grid: bool = True) -> DataFrame:
-    """Positions within the radius of stops; ``route_id`` is taken from stops that have it."""
+    """Positions within the radius of stops; ``route_id`` is taken from stops that have it. Positions
+    outside the configured box, for which the grid's steps would be too small, match nothing."""
+    positions = filter_box(positions, cfg)
     if "route_id" not in stops.columns:
         stops = stops.withColumn("route_id", F.lit(None).cast("string"))
     stops = stops.select("stop_id", "route_id", "stop_lat", "stop_lon")
@@ -76,11 +80,14 @@ def stop_matches(positions: DataFrame, stops: DataFrame, cfg: Settings = DEFAULT
     return radius_join_by_pairs(slim, stops, cfg.stop_radius_m, ("latitude", "longitude"), ("stop_lat", "stop_lon"), "distance_to_stop_m")
 
 
+def arrival_candidates(positions: DataFrame, stops: DataFrame, cfg: Settings = DEFAULT, grid: bool = True) -> DataFrame:
+    near = stop_matches(positions, stops, cfg, grid).withColumnRenamed("event_ts", "arrival_time").withColumn("_event_date", time.event_date(F.col("arrival_time")))
+    return near.select("vehicle_id", "stop_id", "route_id", "line_code", "arrival_time", "latitude", "longitude", "distance_to_stop_m", "_event_date")
+
+
 def stop_arrivals(positions: DataFrame, stops: DataFrame, cfg: Settings = DEFAULT, grid: bool = True) -> DataFrame:
     """One arrival for each vehicle, stop and dedup window: the earliest, nearest."""
-    near = stop_matches(positions, stops, cfg, grid).withColumnRenamed("event_ts", "arrival_time").withColumn("_event_date", time.event_date(F.col("arrival_time")))
-    out = near.select("vehicle_id", "stop_id", "route_id", "line_code", "arrival_time", "latitude", "longitude", "distance_to_stop_m", "_event_date")
-    return dedup_first(out, ["vehicle_id", "stop_id", F.window("arrival_time", cfg.dedup_window)], ["arrival_time", "distance_to_stop_m", "route_id"])
+    return dedup_first(arrival_candidates(positions, stops, cfg, grid), ["vehicle_id", "stop_id", F.window("arrival_time", cfg.dedup_window)], ["arrival_time", "distance_to_stop_m", "route_id"])
 
 
 def stop_entries(positions: DataFrame, stops: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:

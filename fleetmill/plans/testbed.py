@@ -3,6 +3,8 @@ plan can run, and be held against SQL, on them."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,10 +57,12 @@ def routes(spark: SparkSession, d: str) -> DataFrame:
 
 
 def trips(spark: SparkSession, d: str) -> DataFrame:
-    k, r = F.col("c_custkey"), F.floor(F.col("c_custkey") / 40) % 25
-    per_route = F.when(r % 4 == 0, 2).when(r % 4 == 1, 3).when(r % 4 == 2, 4).otherwise(6)
-    rows = read(spark, d, "customer").where(k % 40 < per_route)
-    return rows.select(F.concat((F.lit(33000) + r).cast("string"), F.lit("-10")).alias("route_id"), k.cast("string").alias("trip_id"))
+    """One for each customer; the first routes have many, the last few. Every other trip of a line
+    with two routes is of the second."""
+    k = F.col("c_custkey")
+    line = F.least(k * 7 % 25, F.floor(k / 25) * 11 % 25)
+    route = F.when((line % 5 == 0) & (k % 2 == 1), "-11").otherwise("-10")
+    return read(spark, d, "customer").select(F.concat((F.lit(33000) + line).cast("string"), route).alias("route_id"), k.cast("string").alias("trip_id"))
 
 
 def trip_calls(spark: SparkSession, d: str) -> DataFrame:
@@ -66,9 +70,10 @@ def trip_calls(spark: SparkSession, d: str) -> DataFrame:
 
 
 def timetable(spark: SparkSession, d: str) -> DataFrame:
-    """A call every half hour at each stop (an event type), as clock texts that pass midnight."""
+    """A call every half hour at each stop (an event type), as clock texts. Those about midnight are
+    of the day before only: from 24:00 on."""
     types = read(spark, d, "events").select("event_type").distinct()
-    runs = types.select("event_type", F.explode(F.sequence(F.lit(0), F.lit(49))).alias("k"))
+    runs = types.select("event_type", F.explode(F.sequence(F.lit(2), F.lit(49))).alias("k"))
     s = F.col("k") * 1800 + F.length("event_type") * 60
     clock = F.format_string("%02d:%02d:%02d", F.floor(s / 3600).cast("int"), (F.floor(s / 60) % 60).cast("int"), (s % 60).cast("int"))
     return runs.select(F.col("k").cast("string").alias("trip_id"), F.col("event_type").alias("stop_id"), F.lit("R").alias("route_id"), clock.alias("arrival_time"))
@@ -108,8 +113,8 @@ def headways(spark: SparkSession, d: str) -> DataFrame:
     return gold.headways(type_arrivals(spark, d))
 
 
-def headway_daily(spark: SparkSession, d: str) -> DataFrame:
-    return gold.headway_metrics(headways(spark, d), window="1 day")
+def headway_hourly(spark: SparkSession, d: str) -> DataFrame:
+    return gold.headway_metrics(headways(spark, d))
 
 
 def matched(spark: SparkSession, d: str) -> DataFrame:
@@ -121,14 +126,16 @@ def on_time_hourly(spark: SparkSession, d: str) -> DataFrame:
 
 
 def planned(spark: SparkSession, d: str) -> DataFrame:
-    return gold.planned_trips(trips(spark, d), routes(spark, d).where("route_id like '%-10'"))
+    return gold.planned_trips(trips(spark, d), routes(spark, d))
 
 
 def fleet(spark: SparkSession, d: str, date: str = DAY) -> DataFrame:
     return gold.fleet_utilization(gold.actual_fleet(enriched(spark, d, 30), date), planned(spark, d), date)
 
 
-def equity(spark: SparkSession, d: str, date: str = DAY) -> DataFrame:
-    return gold.coverage_equity(gold.service_frequency(enriched(spark, d), date), gold.census_by_cell(silver.census_table(census(spark, d))), date)
+def fleet_week(spark: SparkSession, d: str) -> DataFrame:
+    return reduce(DataFrame.unionByName, [fleet(spark, d, f"2024-01-{day:02d}") for day in range(int(FIRST[-2:]), int(LAST[-2:]) + 1)])
 
 
+def equity(spark: SparkSession, d: str, date: str = DAY) -> DataFrame:
+    return gold.coverage_equity(gold.service_frequency(enriched(spark, d), date), gold.census_by_cell(silver.census_table(census(spark, d))), date)

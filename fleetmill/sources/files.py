@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import os
 import shutil
+import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from typing import IO
+from urllib.request import urlopen
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +41,16 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return raw.select(*[(F.trim(F.col(f"`{found[n]}`")).try_cast(t) if n in found else F.lit(None).cast(t)).alias(n) for n, t in fields])
 
 
+def download_feed(url: str, target: str, timeout: float = 120, fetch: Callable[..., IO[bytes]] = urlopen) -> str:
+    """Downloads an archive to ``target`` in a stream; an unfinished one leaves no file there."""
+    part = f"{target}.part"
+    os.makedirs(os.path.dirname(os.path.abspath(target)), exist_ok=True)
+    with fetch(url, timeout=timeout) as answer, open(part, "wb") as f:
+        shutil.copyfileobj(answer, f)
+    os.replace(part, target)
+    return target
+
+
 @contextmanager
 def extracted(archive: str, folder: str) -> Iterator[str]:
     """A zip feed unpacked into ``folder`` (one that executors see); removed afterwards, so results
@@ -64,7 +77,10 @@ def read_census(spark: SparkSession, path: str, cfg: Settings = DEFAULT) -> Data
 
 def create_from_csv(spark: SparkSession, table: str, path: str, select: str = "*") -> None:
     """CREATE TABLE … AS SELECT over a CSV file with a header; replaces the table."""
-    spark.read.option("header", True).csv(path).createOrReplaceTempView("_fleetmill_csv")
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"CREATE TABLE {table} USING parquet AS SELECT {select} FROM _fleetmill_csv")
-    spark.catalog.dropTempView("_fleetmill_csv")
+    view = f"_csv_{uuid.uuid4().hex}"  # a name of its own: several may run in one session
+    spark.read.option("header", True).csv(path).createOrReplaceTempView(view)
+    try:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.sql(f"CREATE TABLE {table} USING parquet AS SELECT {select} FROM {view}")
+    finally:
+        spark.catalog.dropTempView(view)

@@ -18,6 +18,11 @@ def overwrite(df: DataFrame, path: str) -> int:
     return seen.get["n"]
 
 
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet table whose columns have grown: files written before a column came have nulls."""
+    return spark.read.option("mergeSchema", True).parquet(path)
+
+
 def load_gtfs(spark: SparkSession, archive: str, work: str, target: str) -> dict[str, int]:
     """A zipped feed to the reference tables; rows by table."""
     with extracted(archive, work) as folder:

@@ -1,20 +1,14 @@
-"""The streaming jobs: bronze and silver as appends, gold by recomputing the days that a batch
-touches, and stateful variants for low latency."""
+"""The streaming jobs: bronze, silver and stop arrivals as appends, gold by recomputing the days that
+a batch touches."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from fleetmill import schemas
 from fleetmill.config import DEFAULT, Settings
-from fleetmill.functions import geo
 from fleetmill.plans import gold, silver
-from fleetmill.shipping import ship
 from fleetmill.sources.files import json_stream
 from fleetmill.streaming.sinks import append_stream, batch_writer, each_batch, recompute_touched
 
@@ -37,10 +31,19 @@ def silver_positions(spark: SparkSession, bronze_path: str, routes: DataFrame, t
     return append_stream(silver_rows(raw, routes, cfg), target, checkpoint, "silver_positions", None if once else cfg.silver_trigger)
 
 
+def arrivals_rows(positions: DataFrame, stops: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
+    """Arrivals on a stream: the earliest, nearest report of each vehicle, stop and window, given out
+    once the watermark has passed the window; later rows are dropped."""
+    near = silver.arrival_candidates(positions, stops, cfg).withWatermark("arrival_time", cfg.arrivals_watermark)
+    first = F.min_by(F.struct(*[c for c in near.columns if c not in ("vehicle_id", "stop_id")]), F.struct("arrival_time", "distance_to_stop_m", "route_id"))
+    got = near.groupBy("vehicle_id", "stop_id", F.window("arrival_time", cfg.dedup_window)).agg(first.alias("first"))
+    return got.select("vehicle_id", "stop_id", "first.*").select(*[c.split()[0] for c in schemas.STOP_ARRIVALS.split(", ")])
+
+
 def stop_arrivals(spark: SparkSession, positions_path: str, stops: DataFrame, target: str, checkpoint: str, cfg: Settings = DEFAULT, once: bool = True):
+    """Appends only, so that the jobs that read arrivals as a stream never lose a file."""
     stream = spark.readStream.schema(schemas.ENRICHED_POSITIONS).parquet(positions_path)
-    handle = recompute_touched(positions_path, target, lambda df: silver.stop_arrivals(df, stops, cfg), "event_ts", schemas.ENRICHED_POSITIONS)
-    return each_batch(stream, handle, checkpoint, "stop_arrivals", None if once else cfg.gold_trigger)
+    return append_stream(arrivals_rows(stream, stops, cfg), target, checkpoint, "stop_arrivals", None if once else cfg.gold_trigger)
 
 
 def speed(spark: SparkSession, positions_path: str, target: str, checkpoint: str, cfg: Settings = DEFAULT, once: bool = True):
@@ -64,38 +67,3 @@ def on_time(spark: SparkSession, arrivals_path: str, stop_times: DataFrame, targ
 def raw_batches(stream: DataFrame, target: str, checkpoint: str, name: str):
     """Any stream, each batch into a folder of its own."""
     return each_batch(stream, batch_writer(target, name), checkpoint, name)
-
-
-PAIR = "vehicle_id string, event_ts timestamp, latitude double, longitude double, h3_index long, line_code int, line_number string, prev_latitude double, prev_longitude double, prev_event_ts timestamp"
-
-
-def speed_state(positions: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
-    """Speeds on a stream without reading silver again: the last report of each vehicle is state,
-    dropped after a day without a report. Rows of a vehicle older than its last report are left out."""
-    ship(positions.sparkSession)
-
-    def pairs(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        rows = pd.concat(list(batches)).sort_values("event_ts", kind="stable")
-        lat, lon, at = state.get if state.exists else (None, None, None)
-        if at is not None:
-            rows = rows[rows["event_ts"] > pd.Timestamp(at)]
-        if rows.empty:
-            return
-        before = rows[["latitude", "longitude", "event_ts"]].shift(1)
-        if at is not None:
-            before.iloc[0] = [lat, lon, pd.Timestamp(at)]
-        rows = rows.assign(prev_latitude=before["latitude"], prev_longitude=before["longitude"], prev_event_ts=before["event_ts"])
-        last = rows.iloc[-1]
-        state.update((float(last["latitude"]), float(last["longitude"]), last["event_ts"].to_pydatetime()))
-        state.setTimeoutDuration(24 * 3600 * 1000)
-        yield rows[rows["prev_event_ts"].notna()][[c.split()[0] for c in PAIR.split(", ")]]
-
-    slim = positions.select("vehicle_id", "event_ts", "latitude", "longitude", "h3_index", "line_code", "line_number")
-    got = slim.groupBy("vehicle_id").applyInPandasWithState(pairs, PAIR, "latitude double, longitude double, event_ts timestamp", "append", GroupStateTimeout.ProcessingTimeTimeout)
-    delta = F.unix_timestamp("event_ts") - F.unix_timestamp("prev_event_ts")
-    out = got.withColumns({"time_delta_seconds": delta, "distance_m": geo.haversine_m(F.col("prev_latitude"), F.col("prev_longitude"), F.col("latitude"), F.col("longitude"))}).where("time_delta_seconds > 0")
-    out = out.withColumn("speed_kmh", (F.col("distance_m") / 1000) / (F.col("time_delta_seconds") / 3600.0))
-    return out.where(F.col("speed_kmh") <= cfg.max_speed_kmh).drop("prev_latitude", "prev_longitude", "prev_event_ts")

@@ -16,7 +16,12 @@ from fleetmill.streaming.sinks import append_stream, each_batch, recompute_touch
 
 
 def _folder(spark: SparkSession) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.gettempdir()
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors see")
+        base = "file://" + tempfile.gettempdir()
     return f"{base.rstrip('/')}/fleetmill-replay-{uuid.uuid4().hex}"
 
 
@@ -43,7 +48,7 @@ def hourly_replay(spark: SparkSession, d: str) -> DataFrame:
     ddl = ", ".join(f"{n} {t}" for n, t in rows.dtypes)
     compute = lambda df: gold.speed_hourly(gold.instantaneous_speed(df, order=("event_ts", "event_id")))
     # the testbed's vehicles may rest for days: the previous report can be any time before
-    handle = recompute_touched(f"{top}/silver", f"{top}/gold", compute, "event_ts", ddl, "100 days")
+    handle = recompute_touched(f"{top}/silver", f"{top}/gold", compute, "event_ts", ddl, 100)
     each_batch(stream, handle, f"{top}/check", f"hourly_{uuid.uuid4().hex}").awaitTermination()
     out = spark.read.parquet(f"{top}/gold").withColumn("_event_date", F.col("_event_date").cast("string"))
-    return out.select("window_start", "window_end", "h3_index", "line_code", "line_number", "time_period", "is_weekday", "_event_date", "sample_count", F.round("avg_speed_kmh", 4).alias("avg_speed_kmh"), "congestion_level")
+    return out.select("window_start", "window_end", "h3_index", "line_code", "line_number", "time_period", "is_weekday", "_event_date", "observation_count", F.round("avg_speed_kmh", 4).alias("avg_speed_kmh"), "congestion_level")

@@ -1,8 +1,9 @@
-"""Sinks that survive retries, and a runner."""
+"""Sinks that survive retries."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,19 +43,19 @@ def replace_partitions(df: DataFrame, path: str, partition: str = "_event_date")
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
 
 
-def recompute_touched(silver_path: str, gold_path: str, compute: Callable[[DataFrame], DataFrame], ts: str, schema: str, lookback: str = "1 day") -> Callable[[DataFrame, int], None]:
-    """Gold from whole days: for the dates in a batch, silver is read again (a day earlier too, for
-    the previous row of each key), the metric computed and those dates replaced. Whatever the
-    batches, the result is that of one batch over all rows."""
+def recompute_touched(silver_path: str, gold_path: str, compute: Callable[[DataFrame], DataFrame], ts: str, schema: str, lookback_days: int = 1) -> Callable[[DataFrame, int], None]:
+    """Gold from whole days: for the dates in a batch and the day after each (whose first rows have
+    their previous ones there), silver is read again, with the days before for the previous row of
+    each key, the metric computed and those dates replaced. Only these days are read, so a late row
+    costs its own days. Silver appends, so a day never loses rows. Whatever the batches, the result
+    is that of one batch over all rows."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark: SparkSession = batch.sparkSession
-        dates = [r[0] for r in batch.select("_event_date").distinct().collect()]  # the days of one batch
-        # a day's first rows are the previous rows of the next day's, so that one is touched as well
-        day = F.col("_event_date").cast("date")
-        touched = sorted({*dates, *(r[0] for r in spark.createDataFrame([(d,) for d in dates], "_event_date string").select(F.date_format(F.date_add(day, 1), "yyyy-MM-dd")).collect())})
-        first, last = touched[0], touched[-1]
-        own = spark.read.schema(schema).parquet(silver_path).where((F.col("_event_date") <= last) & (F.col(ts) >= F.expr(f"timestamp'{first}' - interval {lookback}")))
-        replace_partitions(compute(own).where(F.col("_event_date").isin(touched)), gold_path)
+        dates = [date.fromisoformat(r[0]) for r in batch.select("_event_date").distinct().collect()]  # the days of one batch
+        touched = {d + timedelta(days=k) for d in dates for k in (0, 1)}
+        read = {d - timedelta(days=k) for d in touched for k in range(lookback_days + 1)}
+        own = spark.read.schema(schema).parquet(silver_path).where(F.col("_event_date").isin(sorted(map(str, read))))
+        replace_partitions(compute(own).where(F.col("_event_date").isin(sorted(map(str, touched)))), gold_path)
 
     return handle

@@ -56,7 +56,7 @@ def test_headways(spark):
     got = gold.headways(stamps(spark, rows, "vehicle_id string, stop_id string, line_code int, route_id string, arrival_time timestamp")).collect()
     assert sorted(r["headway_seconds"] for r in got) == [600, 600]
     metrics = gold.headway_metrics(stamps(spark, rows, "vehicle_id string, stop_id string, line_code int, route_id string, arrival_time timestamp").transform(gold.headways)).first()
-    assert metrics["headway_count"] == 2 and metrics["headway_cv"] == 0 and metrics["bunching_severity"] == "regular"
+    assert metrics["arrival_count"] == 2 and metrics["headway_cv"] == 0 and metrics["bunching_severity"] == "regular"
 
 
 def test_speed_leaves_out_the_implausible(spark):
@@ -73,6 +73,21 @@ def test_schedule_match_takes_the_nearest_and_leaves_out_unreadable_clocks(spark
     assert [(r["trip_id"], r["delay_seconds"], r["on_time_status"]) for r in got] == [("t1", 300, "on_time")]
 
 
+def test_schedule_match_goes_round_midnight(spark):
+    """Local time is UTC-3: arrivals at 00:10, 23:55 and 05:00 against calls of the day before and the
+    next; each nearest by hand over all calls."""
+    rows = [("a", 3, 10, 0), ("b", 2, 55, 0), ("c", 8, 0, 0), ("d", 15, 0, 30)]
+    arrivals = stamps(spark, [(v, "s", "r", 1, datetime(2026, 3, 16, h, m, sec)) for v, h, m, sec in rows], "vehicle_id string, stop_id string, route_id string, line_code int, arrival_time timestamp")
+    clocks = {"t1": "24:10:00", "t2": "00:05:00", "t3": "29:00:00", "t4": "14:00:00", "t5": "10:01:00", "t6": "10:01:00"}
+    calls = spark.createDataFrame([(t, "s", "r", c) for t, c in clocks.items()], "trip_id string, stop_id string, route_id string, arrival_time string")
+    got = {r["vehicle_id"]: (r["trip_id"], r["delay_seconds"], r["on_time_status"]) for r in gold.match_schedule(arrivals, calls).collect()}
+    assert got == {"a": ("t1", 0, "on_time"), "b": ("t2", -600, "early"), "c": ("t3", 0, "on_time"), "d": ("t5", 7170, "late")}
+    alone = gold.match_schedule(arrivals, calls.where("trip_id = 't4'"))
+    assert {r["vehicle_id"]: r["delay_seconds"] for r in alone.collect()} == {"a": 36600, "b": 35700, "c": -32400, "d": -7170}
+    plan = alone._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Generate" in plan  # calls are dealt into slots, arrivals into none
+
+
 def test_grid_join_equals_all_pairs(spark):
     points, stops = silver.filter_box(tb.positions(spark, DATA)), tb.stops(spark, DATA)
     grid = {(r["vehicle_id"], r["stop_id"], r["arrival_time"]) for r in silver.stop_arrivals(points, stops).collect()}
@@ -98,9 +113,10 @@ def test_sequence_operators(spark):
 
 
 def test_fleet_keeps_lines_of_either_side(spark):
-    actual = stamps(spark, [(1, "L1", 4, 9, datetime(2026, 1, 1), datetime(2026, 1, 1)), (2, "L2", 1, 1, datetime(2026, 1, 1), datetime(2026, 1, 1))], "line_code int, line_number string, actual_vehicles long, position_reports long, first_seen timestamp, last_seen timestamp")
-    planned = spark.createDataFrame([("r", 1, "R1", 5), ("s", 3, "R3", 2)], "route_id string, line_code int, route_short_name string, planned_trips long")
-    got = {r["line_code"]: (r["line_number"], r["actual_vehicles"], r["planned_trips"], r["fleet_status"]) for r in gold.fleet_utilization(actual, planned, "2026-01-01").collect()}
+    actual = stamps(spark, [(1, "L1", 4, 9, datetime(2026, 1, 1), datetime(2026, 1, 1)), (2, "L2", 1, 1, datetime(2026, 1, 1), datetime(2026, 1, 1))], "line_code int, line_number string, actual_vehicles long, total_observations long, first_seen timestamp, last_seen timestamp")
+    planned = spark.createDataFrame([("r", 1, "R1", "Long 1", 4), ("q", 1, "R0", "Long 0", 1), ("s", 3, "R3", None, 2)], "route_id string, line_code int, route_short_name string, route_long_name string, planned_trips long")
+    assert {r["line_code"]: r["route_long_name"] for r in gold.fleet_utilization(actual, planned, "2026-01-01").collect()} == {1: "Long 0", 2: None, 3: None}
+    got = {r["line_code"]: (r["line_number"], r["actual_vehicles"], r["planned_trips"], r["status"]) for r in gold.fleet_utilization(actual, planned, "2026-01-01").collect()}
     assert got == {1: ("L1", 4, 5, "normal"), 2: ("L2", 1, 0, "over_capacity"), 3: ("R3", 0, 2, "no_service")}
 
 
