@@ -118,28 +118,37 @@ def join_small(left: DataFrame, right: DataFrame, on: str | list[str], how: str,
     return left.join(F.broadcast(right) if n <= BROADCAST_ROWS else right, on, how)
 
 
-#: Nodes with so many edges, and with a share of all edges, are hubs.
-HUB_EDGES, HUB_SHARE = 1000, 1000
+#: Keys with so many rows, and with a share of all rows, are hubs.
+HUB_ROWS, HUB_SHARE = 1000, 1000
+
+
+def hubs(rows: DataFrame, key: str) -> list:
+    """Keys that a thousandth of all rows have: HUB_SHARE at most, whatever the table's size."""
+    least = max(HUB_ROWS, rows.count() // HUB_SHARE)
+    return [r[key] for r in rows.groupBy(key).count().where(F.col("count") >= least).select(key).collect()]
+
+
+def join_hubs(rows: DataFrame, values: DataFrame, key: str, found: list) -> DataFrame:
+    """Inner join of many rows with one row of ``values`` for each key. Rows of the hubs ``found`` get
+    theirs by broadcast, so no hub's rows are gathered; the others meet by a shuffle."""
+    if not found:
+        return rows.join(values, key)
+    at_hub = F.col(key).isin(found)
+    return rows.where(~at_hub).join(values, key).unionByName(rows.where(at_hub).join(F.broadcast(values.where(at_hub)), key))
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """``edges(a, b)`` of longs, in any direction, repeats allowed -> ``(node, component)``, the
     smallest node reachable. Labels hook to the smallest neighbouring label, then jump to their
     label's label, so long chains halve each round. All state stays in DataFrames; each round's
-    labels are a written table. Edges at a hub (a node with a thousandth of all edges, so there are
-    a thousand hubs each side at most) get its label by broadcast and so are never gathered; other
-    edges are joined by their node, and minima are taken before rows are shuffled."""
+    labels are a written table. A hub's edges are not gathered, and minima are taken before rows are
+    shuffled."""
     both = edges.where("a <> b").select("a", "b").union(edges.where("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b")))
     both, drop_both = materialize(both.distinct())
     labels, drop = materialize(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("component")))
-    least = max(HUB_EDGES, both.count() // HUB_SHARE)
-    hubs = [r["b"] for r in both.groupBy("b").count().where(F.col("count") >= least).select("b").collect()]  # at most HUB_SHARE
-    at_hub = F.col("b").isin(hubs) if hubs else F.lit(False)
+    found = hubs(both, "b")
     while True:
-        seen = labels.select(F.col("node").alias("b"), "component")
-        near = both.where(~at_hub).join(seen, "b")
-        if hubs:
-            near = near.unionByName(both.where(at_hub).join(F.broadcast(seen.where(at_hub)), "b"))
+        near = join_hubs(both, labels.select(F.col("node").alias("b"), "component"), "b", found)
         hooked = near.groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
         new = labels.join(hooked, "node").select("node", F.least("component", "near").alias("low"), F.col("component").alias("was"))
         up = labels.select(F.col("node").alias("low"), F.col("component").alias("top"))
@@ -151,3 +160,14 @@ def connected_components(edges: DataFrame) -> DataFrame:
         if not changed:
             drop_both()
             return labels
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """Names like these that no column of ``df`` has, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out

@@ -1,17 +1,22 @@
 r"""URL filters: rules for hosts and paths and, where none fits, propagation over the link graph.
 
-Hosts are joined by the absolute links in their pages. Trust starts at hosts whose pages the rules
+Hosts are joined by the links in their pages: absolute urls and those without a scheme in ``href``,
+``src``, ``srcset``, ``action`` and the like, a ``base``, and urls written out in the text. Relative
+links stay on the page's host, so they join nothing. Trust starts at hosts whose pages the rules
 allow, by the share of such pages, and flows along links (personalised PageRank with damping);
 distrust starts at hosts whose pages the rules block and flows against them, to those who link
 there: a host gets the damped mean distrust of what it links to, weighted by its own links, so it
-does not matter how many others link there too. A page without a rule is blocked if its host's
-distrust reaches BLOCK_FROM and exceeds the trust; the measure is the same whatever the number of
-hosts.
+does not matter how many others link there too. Both are iterated until no host's score moves by
+CLOSE; each round's largest move is kept below the last by the damping, so they end. A page without
+a rule is blocked if its host's distrust reaches BLOCK_FROM and exceeds the trust; the measure is the
+same whatever the number of hosts.
 
 The host stands after the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z lowered; the path
 follows up to ``?``, ``#`` or the end. Null urls, and those without ``://``, have an empty host and
-path, fit no rule and are allowed. Null pages have no links. A null page_id passes through, repeated
-rows give repeated rows, and a page set without links keeps the seeds' own scores.
+path, fit no rule and are allowed. Of rules equally long, the one listed last counts. Null pages have
+no links, very long ones are read whole. A null page_id passes through, repeated rows give repeated
+rows, and a page set without links keeps the seeds' own scores. An empty table gives no rows; extra
+columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -19,11 +24,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetmill.llm.common import join_small, materialize, read
+from fleetmill.llm.common import Tables, hubs, join_hubs, join_small, materialize, read
 
 #: (verdict, host, path): fits the host and its subdomains if the path starts so; the longest wins.
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"))
-DAMPING, ROUNDS, CLOSE, BLOCK_FROM = 0.85, 30, 1e-4, 0.5
+DAMPING, CLOSE, BLOCK_FROM = 0.85, 1e-4, 0.5
 #: Distrust fades faster: it reaches those who link to blocked hosts, hardly those beyond.
 DISTRUST_DAMPING = 0.6
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -46,50 +51,55 @@ def fitting_rule(host: Column, path: Column, rules=RULES) -> Column:
     return out
 
 
+#: A url with a scheme, anywhere; and one without, in an attribute or further on in a list of them.
+ABSOLUTE = r"""(?i)(?<![a-z0-9+.-])[a-z][a-z0-9+.-]*://([^/?#"'\s<>()\\,]+)"""
+SCHEMELESS = r"""(?i)(?:\b(?:href|src|srcset|action|formaction|poster|data|cite|background)\s*=\s*["']?\s*|[0-9][wx]\s*,\s*)//([^/?#"'\s<>()\\,]+)"""
+
+
 def link_hosts(html: Column) -> Column:
-    """Hosts of the absolute links in a page."""
-    found = F.regexp_extract_all(html, F.lit(r"""(?i)(?:href|src)\s*=\s*["']?(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s<>]+)"""), 1)
-    return F.transform(found, lambda h: F.translate(h, UPPER, LOWER))
+    """Hosts of the links in a page."""
+    found = F.concat(*[F.regexp_extract_all(html, F.lit(pattern), 1) for pattern in (ABSOLUTE, SCHEMELESS)])
+    return F.when(F.contains(html, F.lit("//")), F.transform(found, lambda h: F.translate(h, UPPER, LOWER)))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS, close: float = CLOSE, by: str = "src") -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, close: float = CLOSE, by: str = "src") -> DataFrame:
     """``edges(src, dst, weight)``, ``seeds(host, seed)`` -> ``(host, score)`` with score = seed +
     damping * the scores of those that link here, each split over its links by weight: personalised
     PageRank but for the factor 1 - damping. With ``by="dst"`` nothing is split: the scores of those
-    that link here are averaged by weight. Each round's scores are a written table; a hub's
-    contributions are summed before they are shuffled."""
+    that link here are averaged by weight. Rounds go on until no score moves by ``close``; each
+    round's scores are a written table, a hub's links are not gathered, and contributions are summed
+    before they are shuffled."""
     out = edges.groupBy(by).agg(F.sum("weight").alias("total"))
-    shares, drop_shares = materialize(edges.join(out, by).select("src", "dst", (F.col("weight") / F.col("total")).alias("part")))
+    shares, drop_shares = materialize(join_hubs(edges, out, by, hubs(edges, by)).select("src", "dst", (F.col("weight") / F.col("total")).alias("part")))
     seeds = seeds.where("seed > 0")
     scores, drop = materialize(seeds.select("host", F.col("seed").alias("score")))
-    if shares.isEmpty():
-        return scores
-    for _ in range(rounds):
-        flow = shares.join(scores.withColumnRenamed("host", "src"), "src").groupBy(F.col("dst").alias("host")).agg((damping * F.sum(F.col("part") * F.col("score"))).alias("flow"))
+    found = hubs(shares, "src")
+    change = close if not shares.isEmpty() else 0.0
+    while change >= close:
+        flow = join_hubs(shares, scores.withColumnRenamed("host", "src"), "src", found).groupBy(F.col("dst").alias("host")).agg((damping * F.sum(F.col("part") * F.col("score"))).alias("flow"))
         new = seeds.join(flow, "host", "full_outer").select("host", (F.coalesce("seed", F.lit(0.0)) + F.coalesce("flow", F.lit(0.0))).alias("score"))
         new, drop_new = materialize(new)
-        change = new.join(scores.withColumnRenamed("score", "old"), "host", "full_outer").agg(F.max(F.abs(F.coalesce("score", F.lit(0.0)) - F.coalesce("old", F.lit(0.0))))).first()[0]
+        moved = F.max(F.abs(F.coalesce("score", F.lit(0.0)) - F.coalesce("old", F.lit(0.0))))
+        change = new.join(scores.withColumnRenamed("score", "old"), "host", "full_outer").agg(moved).first()[0] or 0.0
         drop()
         scores, drop = new, drop_new
-        if (change or 0.0) < close:
-            break
     drop_shares()
     return scores
 
 
 def judge_urls(pages: DataFrame, rules=RULES, damping: float = DAMPING, distrust_damping: float = DISTRUST_DAMPING, block_from: float = BLOCK_FROM) -> DataFrame:
     """``pages(page_id, url, html)`` -> ``(page_id, host, path, rule, verdict, trust, distrust)``."""
+    tables = Tables()
     host, path = host_and_path(F.col("url"))
     judged = pages.select("page_id", host.alias("host"), path.alias("path"), "html")
     judged = judged.withColumn("fit", fitting_rule(F.col("host"), F.col("path"), rules))
     links = judged.select("host", F.explode(link_hosts(F.col("html"))).alias("dst")).where("host <> '' and dst <> host")
-    edges, drop_edges = materialize(links.groupBy(F.col("host").alias("src"), "dst").agg(F.count(F.lit(1)).alias("weight")))
+    edges = tables.put(links.groupBy(F.col("host").alias("src"), "dst").agg(F.count(F.lit(1)).alias("weight")))
     share = lambda verdict: F.avg(F.when(F.col("fit.verdict") == verdict, 1.0).otherwise(0.0))
-    seeds, drop_seeds = materialize(judged.where("host <> ''").groupBy("host").agg(share("allow").alias("allow"), share("block").alias("block")))
+    seeds = tables.put(judged.where("host <> ''").groupBy("host").agg(share("allow").alias("allow"), share("block").alias("block")))
     trust = propagate(edges, seeds.select("host", F.col("allow").alias("seed")), damping)
     distrust = propagate(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight"), seeds.select("host", F.col("block").alias("seed")), distrust_damping, by="dst")
-    drop_edges()
-    scores, _ = materialize(trust.withColumnRenamed("score", "trust").join(distrust.withColumnRenamed("score", "distrust"), "host", "full_outer"))
+    scores = tables.finish(trust.withColumnRenamed("score", "trust").join(distrust.withColumnRenamed("score", "distrust"), "host", "full_outer"))
     out = join_small(judged.drop("html"), scores, "host", "left")
     t, d = F.coalesce("trust", F.lit(0.0)), F.coalesce("distrust", F.lit(0.0))
     own = F.when((d >= block_from) & (d > t), "block").otherwise("allow")

@@ -80,7 +80,7 @@ def test_repeated_rows_do_not_add_links_to_others(spark):
 def test_hub_edges(spark, monkeypatch):
     from fleetmill.llm import common
 
-    monkeypatch.setattr(common, "HUB_EDGES", 5)
+    monkeypatch.setattr(common, "HUB_ROWS", 5)
     monkeypatch.setattr(common, "HUB_SHARE", 2)
     edges = [(7, k) for k in range(100, 130)] + [(k, k + 1) for k in range(200, 220)] + [(129, 200), (300, 301), (300, 300)]
     got = {r["node"]: r["component"] for r in common.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}

@@ -1,5 +1,7 @@
 import numpy as np
+import pandas as pd
 from llm_data import DATA
+from pyspark.sql import functions as F
 
 from fleetmill.llm import op6_urls as u
 
@@ -45,12 +47,12 @@ def test_every_page_of_the_table(spark):
 
 def test_propagation_solves_the_linear_system(spark):
     edges = [("a", "b", 2), ("a", "c", 1), ("b", "c", 1), ("c", "a", 1), ("d", "c", 3)]
-    got = {r["host"]: r["score"] for r in u.propagate(spark.createDataFrame(edges, "src string, dst string, weight long"), spark.createDataFrame([("a", 1.0), ("d", 0.5)], "host string, seed double"), close=1e-9, rounds=200).collect()}
+    got = {r["host"]: r["score"] for r in u.propagate(spark.createDataFrame(edges, "src string, dst string, weight long"), spark.createDataFrame([("a", 1.0), ("d", 0.5)], "host string, seed double"), 0.5, 1e-7).collect()}
     names = "abcd"
     m = np.zeros((4, 4))
     for s, t, w in edges:
         m[names.index(t), names.index(s)] = w / sum(x[2] for x in edges if x[0] == s)
-    want = np.linalg.solve(np.eye(4) - u.DAMPING * m, [1, 0, 0, 0.5])
+    want = np.linalg.solve(np.eye(4) - 0.5 * m, [1, 0, 0, 0.5])
     assert all(abs(got[n] - want[i]) < 1e-6 for i, n in enumerate(names))
 
 
@@ -70,3 +72,49 @@ def test_distrust_does_not_shrink_with_the_number_of_linkers(spark):
         got = {r["page_id"]: r for r in u.judge_urls(spark.createDataFrame(rows, SCHEMA)).collect()}
         assert all(got[10 + i]["verdict"] == "block" and abs(got[10 + i]["distrust"] - 0.6) < 1e-3 for i in range(n))
         assert got[1]["verdict"] == got[2]["verdict"] == "allow"
+
+
+def test_links_of_all_kinds(spark):
+    html = """<base href="HTTP://Base.org/a/"><a href=/own><a href='//Bare.com:80/x'><img srcset="https://one.net/a 1x, //two.net/b 2x"><form action="//form.org">
+    see https://plain.example.com/x, (ftp://files.org) and "//no.link" <a href="page.html"> x=a//b http:///empty <a href="https:\\\\odd.org">"""
+    got = spark.createDataFrame([(1, html), (2, None), (3, "")], "i long, html string").select("i", u.link_hosts(F.col("html")).alias("h")).collect()
+    assert sorted(got[0]["h"]) == ["bare.com:80", "base.org", "files.org", "form.org", "one.net", "plain.example.com", "two.net"]
+    assert not got[1]["h"] and not got[2]["h"]
+
+
+def test_a_large_graph_with_hubs(spark):
+    """100,000 hosts, of which ten are linked by a fifth of all and one links to a tenth, against a
+    plain power iteration."""
+    rng = np.random.default_rng(0)
+    n = 100_000
+    src, dst = rng.integers(0, n, 300_000), rng.integers(0, n, 300_000)
+    dst[:60_000] = rng.integers(0, 10, 60_000)
+    src[60_000:70_000] = 11
+    keep = src != dst
+    pairs, weight = np.unique(np.stack([src[keep], dst[keep]], axis=1), axis=0, return_counts=True)
+    edges = spark.createDataFrame(pd.DataFrame({"s": pairs[:, 0], "d": pairs[:, 1], "weight": weight})).selectExpr("concat('h', s) AS src", "concat('h', d) AS dst", "weight")
+    seeds = spark.createDataFrame([(f"h{i}", 1.0) for i in range(0, n, 500)], "host string, seed double")
+    for by, damping in (("src", 0.6), ("dst", 0.5)):
+        got = {r["host"]: r["score"] for r in u.propagate(edges, seeds, damping, 1e-6, by=by).collect()}
+        total = np.bincount(pairs[:, 0 if by == "src" else 1], weights=weight, minlength=n)
+        part = weight / total[pairs[:, 0 if by == "src" else 1]]
+        seed = (np.arange(n) % 500 == 0).astype(float)
+        score = seed
+        for _ in range(60):
+            score = seed + damping * np.bincount(pairs[:, 1], weights=part * score[pairs[:, 0]], minlength=n)
+        assert max(abs(got.get(f"h{i}", 0.0) - score[i]) for i in range(n)) < 1e-5
+
+
+def test_long_pages_and_clashing_columns(spark):
+    link = '<a href="https://bad.net/x">'
+    pages = [(1, "https://bad.net/fr/1", ""), (2, "https://spam.org/1", "x " * 200_000 + link), (3, "https://spam.org/2", "")]
+    df = spark.createDataFrame([(*p, "a", "b", "c", 1.0) for p in pages], SCHEMA + ", host string, path string, fit string, trust double")
+    assert {r["page_id"]: r["verdict"] for r in u.judge_urls(df).collect()} == {1: "block", 2: "block", 3: "block"}
+
+
+def test_of_equally_long_rules_the_last_counts(spark):
+    pages = spark.createDataFrame([(1, "x://a.b/cd", "")], SCHEMA)
+    for first, last in (("allow", "block"), ("block", "allow")):
+        for rules in (((first, "a.b", "/"), (last, "b", "/cd")), ((first, "b", "/cd"), (last, "a.b", "/"))):
+            fit = pages.select(u.fitting_rule(*u.host_and_path(F.col("url")), rules).alias("fit")).first()["fit"]
+            assert (fit["rule"], fit["verdict"]) == (rules[1][1] + rules[1][2], last)
