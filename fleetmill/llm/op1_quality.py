@@ -8,7 +8,10 @@ into one Spark column expression, which scores the table of statistics.
 The trees and weights are fitted on the driver, from at most about SAMPLE labelled rows (documented
 bound, drawn by a hash of doc_id); statistics and scores cover all rows. Null texts count as empty
 ones and are scored. Labels that are null, and labels of unknown documents, are not learnt from;
-without labels every score is 0.5. Repeated rows score alike; a null doc_id is not held out.
+without labels every score is 0.5. Very long texts are read whole. Repeated rows score alike, and are
+learnt from once; of different texts under one doc_id the one with the least statistics. Rules of
+equal gain (ties) are taken in the order of statistics and bounds. A null doc_id is not held out. An
+empty table gives no rows; columns other than those named are not read, so none can clash.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetmill.llm.common import map_texts, materialize, read
+from fleetmill.llm.common import join_small, map_texts, materialize, read
 
 SAMPLE = 12_000
 TREES, DEPTH, RATE, BINS, LASSO, STEPS = 60, 3, 0.3, 32, 0.0015, 400
@@ -148,10 +151,12 @@ def text_statistics(docs: DataFrame) -> DataFrame:
 
 def learn(stats: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[float, list[tuple[float, Rule]]]:
     """``labels(doc_id, quality)``: those that may be learnt from."""
-    labels = labels.where("quality is not null and doc_id is not null").select("doc_id", "quality")
+    labels = labels.where("quality is not null and doc_id is not null").select("doc_id", "quality").distinct()
     share = min(1.0, sample / max(1, labels.count()))
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / float(1 << 20)
-    rows = stats.join(labels.where(draw < share), "doc_id").toPandas().sort_values(["doc_id", "quality"], kind="stable")
+    # about `sample` rows meet the statistics by broadcast, and each label comes out once
+    met = join_small(stats, labels.where(draw < share), "doc_id", "inner").groupBy("doc_id", "quality").agg(F.min(F.struct(*STATS)).alias("s")).select("doc_id", "quality", "s.*")
+    rows = met.toPandas().sort_values(["doc_id", "quality"], kind="stable")
     return fit(rows[list(STATS)].to_numpy(np.float64), rows["quality"].to_numpy(np.float64))
 
 

@@ -9,8 +9,10 @@ the same, of an earlier rule) of its own level, is suppressed. So the many readi
 leave the one that explains most of it.
 
 Everything happens inside a row, so nothing is shuffled and a repeated license line costs only its
-own document. Null and empty texts have no words and no detections. Repeated rows and extra columns
-need nothing.
+own document. Null and empty texts have no words and no detections, very long ones are read whole.
+Detections that tie (the same words, the same level) leave the one of the earlier rule. Repeated rows
+are scanned each, an empty table gives no rows. Extra columns pass through whatever their names;
+columns named as the three results are replaced by them.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetmill.llm.common import read
+from fleetmill.llm.common import free_names, read
 
 #: The phrases whose places are counted, with their labels.
 BASE = (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
@@ -198,7 +200,8 @@ def surviving(found: Column) -> Column:
 def scan_licenses(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``docs`` (its columns first) with ``n_words``, ``base`` (an array of word starts
     for each base phrase) and ``licenses`` (the surviving detections: start, end, label, score)."""
-    names = docs.columns
+    names = [c for c in docs.columns if c.lower() not in ("n_words", "base", "licenses")]
+    canon_, found_ = free_names(docs, "canon", "found")
     low = F.lower(F.col(text))
     gate = F.lit(False)
     for word in GATES:
@@ -210,12 +213,12 @@ def scan_licenses(docs: DataFrame, text: str = "text") -> DataFrame:
     words = F.coalesce(F.size(F.regexp_extract_all(F.col(text), F.lit(WORD), F.lit(0))), F.lit(0))
     lowered = F.translate(F.col(text), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     canon = F.when(gate, F.concat(F.lit(" "), F.trim(F.regexp_replace(lowered, BETWEEN, " ")), F.lit(" ")))
-    step = docs.select(*names, words.cast("long").alias("n_words"), canon.alias("_canon"))
-    starts = [F.transform(intervals(F.col("_canon"), F.lit(f" {phrase}(?= )")), lambda s: s["start"].cast("long")) for phrase, _ in BASE]
+    step = docs.select(*names, words.cast("long").alias("n_words"), canon.alias(canon_))
+    starts = [F.transform(intervals(F.col(canon_), F.lit(f" {phrase}(?= )")), lambda s: s["start"].cast("long")) for phrase, _ in BASE]
     none = F.array().cast("array<array<bigint>>")
-    step = step.select(*names, "n_words", F.when(F.col("_canon").isNotNull(), F.array(*starts)).otherwise(none).alias("base"), F.when(F.col("_canon").isNotNull(), detections(F.col("_canon"))).alias("_found"))
+    step = step.select(*names, "n_words", F.when(F.col(canon_).isNotNull(), F.array(*starts)).otherwise(none).alias("base"), F.when(F.col(canon_).isNotNull(), detections(F.col(canon_))).alias(found_))
     empty = F.array().cast("array<struct<start:int,end:int,label:string,score:double>>")
-    return step.select(*names, "n_words", "base", F.coalesce(surviving(F.col("_found")), empty).alias("licenses"))
+    return step.select(*names, "n_words", "base", F.coalesce(surviving(F.col(found_)), empty).alias("licenses"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

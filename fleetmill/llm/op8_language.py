@@ -9,7 +9,9 @@ temperature. The whole text of every row is scored.
 
 Texts without a letter (null, empty, digits) get ``und`` and score 0; so do all texts if there is
 nothing to learn from. Rows with a null language or a null doc_id are not learnt from, but scored
-(a null doc_id is not held out). Repeated rows score alike; the first language by name wins a tie.
+(a null doc_id is not held out). Of more than LANGS labels the most frequent are learnt. Very long
+texts are read whole. Repeated rows score alike; the first language by name wins a tie. An empty
+table gives no rows; columns other than doc_id, text and lang are not read.
 """
 
 from __future__ import annotations
@@ -22,6 +24,8 @@ from fleetmill.llm.common import map_texts, read
 from fleetmill.shipping import ship
 
 SAMPLE = 3000
+#: Labels beyond so many (documented bound) are taken for dirt.
+LANGS = 500
 BITS = 14
 UND = "und"
 #: FTRL: learning rate and its smoothing, L1 and L2.
@@ -102,7 +106,7 @@ def temperature(scores: np.ndarray, labels: np.ndarray) -> float:
 def fit(docs: DataFrame, sample: int = SAMPLE) -> dict | None:
     """``docs(doc_id, text, lang)``: the training rows. A model of plain arrays, or None."""
     ship(docs.sparkSession)
-    per_lang = {r["lang"]: r["count"] for r in docs.groupBy("lang").count().collect()}  # one row for each language
+    per_lang = {r["lang"]: r["count"] for r in docs.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGS).collect()}
     if not per_lang:
         return None
     langs = sorted(per_lang)

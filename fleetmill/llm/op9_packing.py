@@ -9,13 +9,20 @@ is a list of runs: pieces number a to b of a length go, so many to a bin, into c
 Spark then numbers the pieces of each length (offsets by partition, so no length is gathered in
 one task) and looks up their runs.
 
-Texts are tokenized once, into a written table of pieces. A null text is an empty one and
-has only the end token. Repeated rows are packed each; ties go by partition order, any is right.
+Texts are tokenized once, into a written table of pieces that keeps the partition each was made in.
+Both passes number by that column, so they agree whatever has become of the executors; if the pieces
+placed were not those planned, the query fails rather than lose any. A null or empty text has only
+the end token. Very long texts are cut into pieces of full size, the first shorter. Repeated rows are
+packed each; ties go by partition and the order of columns, any is right. An empty table gives no
+rows. ``best_fit`` keeps all columns of its pieces, whatever their names (``sequence_id`` and
+``offset`` are set anew); ``pack`` reads doc_id and text only.
 """
 
 from __future__ import annotations
 
 import base64
+import json
+import os
 import zlib
 from array import array
 
@@ -23,13 +30,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from fleetmill.llm.common import map_texts, materialize, read
+from fleetmill.llm.common import free_names, map_texts, materialize, read
 
 CAPACITY = 2048
 #: Words whose ids a worker keeps.
 KEPT = 1_000_000
 END = 0
 
+
 class SegmentTree:
     """Counts over 0..size-1; finds the first index not below a bound that has any."""
 
@@ -117,24 +125,49 @@ class _Words(dict):
         return found
 
 
+def ranks_of(file: str, ranks: str) -> dict[bytes, int] | None:
+    """The rank file's table, if it is there and says the same as the tokenizer's own file: the same
+    tokens under the same ids, each made by a merge of its own, in the order of ids, the same split
+    of texts, and nothing done to texts before. Else None."""
+    if not os.path.exists(ranks):
+        return None
+    with open(ranks, "rb") as f:
+        table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    with open(file, encoding="utf-8") as f:
+        spec = json.load(f)
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    byte_of = {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
+    special = {t["content"] for t in spec["added_tokens"]}
+    own = {bytes(byte_of[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
+    merges = ["".join(m) if isinstance(m, list) else m.replace(" ", "") for m in spec["model"]["merges"]]
+    made = [spec["model"]["vocab"][m] for m in merges]
+    split = spec["pre_tokenizer"]
+    same_split = split["type"] == "ByteLevel" and split.get("use_regex", True) and not split["add_prefix_space"] and spec["normalizer"] is None
+    return table if own == table and made == sorted(set(made)) and len(made) == len(own) - 256 and same_split else None
+
+
 class TokenIds:
-    """Ids of texts as little-endian unsigned 32-bit bytes: those that the tokenizer of a file
-    gives, found by an engine that reads the same vocabulary as ranks (tests hold the two against
-    each other). The splitting rule never joins what stands before a single blank between two
+    """Ids of texts as little-endian unsigned 32-bit bytes, as the tokenizer of a file gives them.
+    Where a rank file says the same (ranks_of), a quicker engine reads that; tests hold the two
+    against each other. The splitting rule never joins what stands before a single blank between two
     words with what follows it, so words are looked up; texts with other blanks are encoded whole."""
 
     def __init__(self, tokenizer: str, ranks: str, special: str = "<|endoftext|>"):
         import public_tokenizers
-        import tiktoken
         from tokenizers import Tokenizer
 
-        with open(public_tokenizers.path(ranks), "rb") as f:
-            table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        engine = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
-        self.encode = engine.encode_ordinary
+        path = public_tokenizers.path(tokenizer)
+        library = Tokenizer.from_file(path)
+        table = ranks_of(path, public_tokenizers.path(ranks))
+        if table is not None:
+            import tiktoken
+
+            self.encode = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={}).encode_ordinary
+        else:
+            self.encode = lambda text: library.encode(text, add_special_tokens=False).ids
         self.special = special
-        special_id = Tokenizer.from_file(public_tokenizers.path(tokenizer)).token_to_id(special)
-        self.special_id = array("I", [special_id]).tobytes()
+        self.special_id = array("I", [library.token_to_id(special)]).tobytes()
         self.words = _Words(self.encode)
 
     def section(self, text: str) -> bytes:
@@ -185,20 +218,23 @@ def best_fit(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     each with the partition it was in: both passes number by that column, as the partitions of a
     scan change with the number of executors."""
     spark = pieces.sparkSession
-    at, _ = materialize(pieces.withColumn("_part", F.spark_partition_id()))
-    counts, _ = materialize(at.groupBy("length", "_part").agg(F.count(F.lit(1)).alias("n")))
-    runs = plan({r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}, capacity)
-    table = spark.createDataFrame(runs, "length long, _a long, _b long, _bin long, _each long, _at long")
-    before = F.sum("n").over(W.partitionBy("length").orderBy("_part").rowsBetween(W.unboundedPreceding, -1))
-    offsets = counts.select("length", "_part", F.coalesce(before, F.lit(0)).alias("_before"))
-    within = F.row_number().over(W.partitionBy("_part", "length").orderBy(*pieces.columns)) - 1
-    numbered = at.withColumn("_rank", within).join(offsets, ["length", "_part"])
-    numbered = numbered.withColumn("_rank", F.col("_rank") + F.col("_before")).drop("_before")
+    pieces = pieces.drop("sequence_id", "offset")
+    part, n, rank, before, first, end, bin_, each, place = free_names(pieces, "part", "n", "rank", "before", "first", "end", "bin", "each", "place")
+    at, _ = materialize(pieces.withColumn(part, F.spark_partition_id()))
+    counts, _ = materialize(at.groupBy("length", part).agg(F.count(F.lit(1)).alias(n)))
+    runs = plan({r["length"]: r[n] for r in counts.groupBy("length").agg(F.sum(n).alias(n)).collect()}, capacity)
+    table = spark.createDataFrame(runs, f"length long, `{first}` long, `{end}` long, `{bin_}` long, `{each}` long, `{place}` long")
+    ahead = F.sum(n).over(W.partitionBy("length").orderBy(part).rowsBetween(W.unboundedPreceding, -1))
+    offsets = counts.select("length", part, F.coalesce(ahead, F.lit(0)).alias(before))
+    within = F.row_number().over(W.partitionBy(part, "length").orderBy(*pieces.columns)) - 1
+    # outer joins: a piece without a place would fail below, not vanish
+    numbered = at.withColumn(rank, within).join(offsets, ["length", part], "left").withColumn(rank, F.col(rank) + F.col(before))
     # runs: a few for each of at most `capacity` lengths
-    placed = numbered.join(F.broadcast(table), "length").where("_rank >= _a and _rank < _b")
-    step = F.col("_rank") - F.col("_a")
-    where = {"sequence_id": F.col("_bin") + F.floor(step / F.col("_each")).cast("long"), "offset": F.col("_at") + step % F.col("_each") * F.col("length")}
-    return placed.select(*pieces.columns, *(c.alias(n) for n, c in where.items()))
+    fits = (numbered["length"] == table["length"]) & (F.col(rank) >= F.col(first)) & (F.col(rank) < F.col(end))
+    placed = numbered.join(F.broadcast(table), fits, "left").withColumn(bin_, F.coalesce(bin_, F.raise_error(F.lit("a piece has no place")).cast("long")))
+    step = F.col(rank) - F.col(first)
+    where = {"sequence_id": F.col(bin_) + F.floor(step / F.col(each)).cast("long"), "offset": F.col(place) + step % F.col(each) * numbered["length"]}
+    return placed.select(*[numbered[c] for c in pieces.columns], *(c.alias(name) for name, c in where.items()))
 
 
 def pack(docs: DataFrame, tokenizer: str = "byte_bpe_50k", capacity: int = CAPACITY) -> DataFrame:
