@@ -117,3 +117,10 @@ def test_no_gate_loses_a_match(spark):
     with mock.patch.object(lic, "read", lambda *a: df):
         got = {r["doc_id"]: tuple(r)[1:] for r in lic.query(spark, "").collect()}
     assert [(t, got[i], w) for i, (t, w) in enumerate(zip(texts, want, strict=True)) if got[i] != w] == []
+
+
+def test_columns_of_any_name_pass_through(spark):
+    df = spark.createDataFrame([(1, "under the mit license", 5, "x", "y", 7, 8)], "doc_id long, text string, n_words int, base string, Licenses string, canon int, found int")
+    got = lic.scan_licenses(df).collect()[0]
+    assert (got["canon"], got["found"], got["n_words"], got["base"]) == (7, 8, 4, [[0], [], []]) and [d["label"] for d in got["licenses"]] == ["mit"]
+    assert lic.scan_licenses(df).columns == ["doc_id", "text", "canon", "found", "n_words", "base", "licenses"]

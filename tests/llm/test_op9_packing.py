@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pytest
 from llm_data import DATA
 from tokenizers import Tokenizer
 
@@ -83,16 +84,47 @@ def test_documents(spark, odd_docs, no_docs):
 
 def test_other_partitions_in_the_second_scan_lose_nothing(spark):
     docs = spark.createDataFrame([(i, " ".join(["word"] * (1 + i % 7))) for i in range(400)], "doc_id long, text string").repartition(8)
-    got, name = p.pack(docs, capacity=16), "spark.sql.files.maxPartitionBytes"
-    was = spark.conf.get(name)
-    spark.conf.set(name, "1k")
+    got = p.pack(docs, capacity=16)
+    other = {"spark.sql.files.maxPartitionBytes": "1k", "spark.sql.files.minPartitionNum": "40", "spark.sql.files.openCostInBytes": "1"}
+    was = {name: spark.conf.get(name, None) for name in other}
+    for name, value in other.items():
+        spark.conf.set(name, value)
     try:
         rows = got.collect()
     finally:
-        spark.conf.set(name, was)
+        for name, value in was.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
     assert {r["doc_id"] for r in rows} == set(range(400)) and len(rows) == 400
     bins = {}
     for r in rows:
         bins.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
     for parts in map(sorted, bins.values()):
         assert parts[0][0] == 0 and all(x + n == y for (x, n), (y, _) in zip(parts, parts[1:])) and sum(n for _, n in parts) <= 16
+
+
+def test_a_piece_without_a_place_fails(spark, monkeypatch):
+    pieces = spark.createDataFrame([(i, 5) for i in range(10)], "doc_id long, length long")
+    monkeypatch.setattr(p, "plan", lambda histogram, capacity, whole=p.plan: whole({k: n - 1 for k, n in histogram.items()}, capacity))
+    with pytest.raises(Exception, match="a piece has no place"):
+        p.best_fit(pieces, 16).collect()
+
+
+def test_clashing_columns(spark):
+    names = ["part", "n", "rank", "before", "first", "end", "bin", "each", "place", "sequence_id", "offset"]
+    rows = [(i, 1 + i % 6, *([i] * len(names))) for i in range(50)]
+    got = p.best_fit(spark.createDataFrame(rows, "doc_id long, length long, " + ", ".join(f"`{c}` int" for c in names)), 16).collect()
+    assert all(r[c] == r["doc_id"] for r in got for c in names[:-2]) and sum(r["length"] for r in got) == sum(1 + i % 6 for i in range(50))
+    assert len({r["sequence_id"] for r in got}) == len(best_fit_by_hand([1 + i % 6 for i in range(50)], 16))
+
+
+def test_ranks_are_used_only_if_they_say_the_same(tmp_path):
+    json_file, ranks = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
+    assert len(p.ranks_of(json_file, ranks)) == 50_256
+    assert p.ranks_of(json_file, public_tokenizers.path("byte_bpe_multi_50k.tiktoken")) is None and p.ranks_of(json_file, "/none") is None
+    lines = open(ranks, "rb").read().splitlines()
+    lines[1000], lines[1001] = lines[1000].split()[0] + b" 1001", lines[1001].split()[0] + b" 1000"
+    (tmp_path / "other").write_bytes(b"\n".join(lines))
+    assert p.ranks_of(json_file, str(tmp_path / "other")) is None
+    own, theirs = p.TokenIds("byte_bpe_50k.json", "none"), library()
+    for text in ("a b <|endoftext|> c", "don't  stop\n", "", "日本 ½ x"):
+        assert np.frombuffer(own.ids(text), "<u4").tolist() == theirs.encode(text, add_special_tokens=False).ids

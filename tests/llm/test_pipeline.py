@@ -49,3 +49,37 @@ def test_near_duplicates_take_five_words_and_four_fifths(spark):
     rows = [(k, " ".join(x), "en", "a", 1) for k, x in enumerate((words, near, far))]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     assert sorted(r["doc_id"] for r in c.near_duplicates(spark, docs, DATA).collect()) == [0, 2]
+
+
+ODD = "doc_id long, text string, lang string, source string, n_chars long, component long, h string, words string, node long, n int, part int"
+
+
+def tables(spark, folder, rows):
+    spark.createDataFrame(rows, ODD).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(1, "How many of the seven old ships left the quiet harbour before the storm came in from the north?")], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+
+
+def test_run_on_odd_tables(spark, tmp_path):
+    """Nulls, empty and long texts, repeated rows, one number for two texts, and columns whose names
+    the operators use."""
+    english = " ".join(f"the and of to in that it was for on are as with his they at {i}" for i in range(12))
+    german = " ".join(f"der und das ist nicht von zu den mit sich auf eine dem auch {i}" for i in range(12))
+    more = (9, "h", "w", 5, 6, 7)
+    rows = [(i, f"{english} number{i} " + " ".join(f"w{i}x{k}" for k in range(60)), "en", "a", 1, *more) for i in range(30)]
+    rows += [(100 + i, f"{german} nummer{i} " + " ".join(f"v{i}x{k}" for k in range(60)), "de", "a", 1, *more) for i in range(30)]
+    long = " ".join(f"the old house number {i} and the road to it" for i in range(20_000))
+    rows += [(200, None, "en", None, None, *more), (201, "", None, "a", 0, *more), (202, " 12 !", "en", "a", 5, *more), (203, long, "en", "a", 1, *more), (None, f"{english} without a number", "en", "a", 1, *more)]
+    rows += [rows[0], (5, f"{german} another text of the same number " + " ".join(f"u{k}" for k in range(60)), "de", "a", 1, *more), (300, rows[1][1], "en", "a", 1, *more)]
+    tables(spark, str(tmp_path), rows)
+    got = c.run(spark, str(tmp_path)).toPandas()
+    kept = got[got["piece"] == 0].groupby("doc_id", dropna=False).size().to_dict()
+    assert all(kept.get(i) == 1 for i in range(30) if i != 5) and kept.get(5) == 2 and all(kept.get(100 + i) == 1 for i in range(30))
+    assert not {200, 201, 202, 300} & set(kept) and kept[203] == 1
+    assert got["doc_id"].isna().sum() >= 1 and got[got["doc_id"] == 203]["length"].sum() > 100_000
+    for _, g in got.sort_values("offset").groupby("sequence_id"):
+        assert g["offset"].tolist() == [0, *np.cumsum(g["length"])[:-1]] and g["length"].sum() <= 2048
+
+
+def test_run_on_an_empty_table(spark, tmp_path):
+    tables(spark, str(tmp_path), [])
+    assert c.run(spark, str(tmp_path)).count() == 0
