@@ -105,3 +105,42 @@ def test_census_and_sql_tables(spark, tmp_path):
     files.create_from_csv(spark, "tracts", str(tmp_path / "census.csv"), "tract_code, cast(population AS INT) AS population")
     assert spark.table("tracts").agg(F.sum("population")).first()[0] == 105
     spark.sql("DROP TABLE tracts")
+
+
+def test_download_leaves_no_part_behind(tmp_path):
+    import io
+
+    got = files.download_feed("https://example.org/feed.zip", str(tmp_path / "a/feed.zip"), fetch=lambda url, timeout: io.BytesIO(b"x" * 100_000))
+    assert open(got, "rb").read() == b"x" * 100_000 and [f.name for f in (tmp_path / "a").iterdir()] == ["feed.zip"]
+
+    def broken(url, timeout):
+        raise OSError("no answer")
+
+    with pytest.raises(OSError):
+        files.download_feed("https://example.org/x", str(tmp_path / "b.zip"), fetch=broken)
+    assert not (tmp_path / "b.zip").exists()
+
+
+def test_tables_that_grew_a_column(spark, tmp_path):
+    spark.range(2).write.parquet(str(tmp_path / "t"))
+    spark.range(2, 4).selectExpr("id", "'new' AS extra").write.mode("append").parquet(str(tmp_path / "t"))
+    assert sorted((r["id"], r["extra"]) for r in tables.read_table(spark, str(tmp_path / "t")).collect()) == [(0, None), (1, None), (2, "new"), (3, "new")]
+
+
+def test_bronze_days_are_those_of_events(spark, tmp_path):
+    from fleetmill.plans import silver
+
+    (tmp_path / "a.json").write_text('{"vehicle_id": "1", "event_timestamp": "2026-03-16T23:59:00"}\n{"vehicle_id": "2", "event_timestamp": "junk"}\n')
+    got = silver.with_lineage(spark.read.schema(schemas.RAW_POSITIONS).json(str(tmp_path))).orderBy("vehicle_id").collect()
+    assert [str(r["_event_date"]) for r in got] == ["2026-03-16", "None"] and all(r["_source_file"].endswith("a.json") for r in got)
+
+
+def test_polls_as_a_spark_source(spark, tmp_path):
+    from fleetmill.shipping import ship
+
+    (tmp_path / "fleet_fake.py").write_text(f"import json\ndef answer():\n    return json.loads({BODY!r})\n")
+    spark.sparkContext.addPyFile(str(tmp_path / "fleet_fake.py"))
+    ship(spark)
+    spark.dataSource.register(api.PositionSource)
+    got = spark.read.format("vehicle_positions").option("fetch", "fleet_fake:answer").load().collect()
+    assert [r["vehicle_id"] for r in got] == ["5"] and got[0]["ingestion_timestamp"]
