@@ -2,7 +2,7 @@ r"""License scans by ordered signature rules, in column expressions only.
 
 Texts are first held against a few substrings; those with none have no detections, and the others
 are rewritten to single-spaced lower-case words, on which the rules are regular expressions.
-Each rule has keywords one of which must occur before its expression is tried. Rules are ordered by level
+Each rule has keywords one of which must begin a word of the text before its expression is tried. Rules are ordered by level
 (license text, tag, notice, reference, mention) and inside a level by their place. A detection is an
 interval of words; one that lies inside a detection of a better level, or inside a longer one (or
 the same, of an earlier rule) of its own level, is suppressed. So the many readings of one notice
@@ -36,15 +36,15 @@ GATE_CC = r"(?i)cc[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+(?:by|0|zero|sa|nc|nd)|
 
 L = "licen[sc]e"
 V = "(?:version |v ?)?"
-#: label, SPDX id in words, expression of the name, keywords (one has to occur), whether the name
+#: label, SPDX id in words, expression of the name, keywords (one has to begin a word), whether the name
 #: alone is telling.
 NAMES = (
     ("mit", "mit", "mit(?: expat)?", "mit", False),
     ("mit-0", "mit 0", "mit(?: no attribution| 0)", "mit", False),
     ("x11", "x11", "x11", "x11", False),
     ("isc", "isc", "isc", "isc", False),
-    ("0bsd", "0bsd", "(?:0bsd|zero clause bsd|bsd zero clause)", "bsd", True),
-    ("bsd-2-clause", "bsd 2 clause", "(?:bsd 2 clause|2 clause bsd|two clause bsd|simplified bsd|freebsd)", "bsd", False),
+    ("0bsd", "0bsd", "(?:0bsd|zero clause bsd|bsd zero clause)", "0bsd|bsd", True),
+    ("bsd-2-clause", "bsd 2 clause", "(?:bsd 2 clause|2 clause bsd|two clause bsd|simplified bsd|freebsd)", "bsd|freebsd", False),
     ("bsd-3-clause", "bsd 3 clause", "(?:bsd 3 clause|3 clause bsd|three clause bsd|(?:new|revised|modified) bsd)", "bsd", False),
     ("bsd-4-clause", "bsd 4 clause", "(?:bsd 4 clause|4 clause bsd|original bsd|old bsd)", "bsd", False),
     ("bsd", "bsd", "(?:bsd|bsd style|berkeley software distribution)", "bsd|berkeley", False),
@@ -170,9 +170,9 @@ def intervals(canon: Column, pattern: Column) -> Column:
 
 
 def detections(canon: Column) -> Column:
-    """All matches of all rules whose keyword occurs, in the order that suppression needs: a
-    detection that can contain another one comes before it."""
-    table = F.array(*[F.struct(F.lit(level).alias("level"), F.lit(i).alias("rule"), F.lit(label).alias("label"), F.array(*[F.lit(w) for w in word.split("|")]).alias("words"), F.lit(score).alias("score"), F.lit(text).alias("text")) for i, (level, label, word, score, text) in enumerate(rules())])
+    """All matches of all rules whose keyword occurs at the start of a word, in the order that
+    suppression needs: a detection that can contain another one comes before it."""
+    table = F.array(*[F.struct(F.lit(level).alias("level"), F.lit(i).alias("rule"), F.lit(label).alias("label"), F.array(*[F.lit(f" {w}") for w in word.split("|")]).alias("words"), F.lit(score).alias("score"), F.lit(text).alias("text")) for i, (level, label, word, score, text) in enumerate(rules())])
     tried = F.filter(table, lambda r: F.exists(r["words"], lambda w: F.contains(canon, w)))
     found = F.flatten(F.transform(tried, lambda r: F.transform(intervals(canon, r["text"]), lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back"), r["level"].alias("level"), r["rule"].alias("rule"), r["label"].alias("label"), r["score"].alias("score")))))
     return F.array_sort(found)
