@@ -10,7 +10,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from fleetmill.shipping import ship
@@ -53,15 +53,28 @@ def _drop_at_exit(spark: SparkSession, path: str) -> None:
         return
 
 
-def materialize(df: DataFrame) -> tuple[DataFrame, Callable[[], None]]:
+def materialize(df: DataFrame, count: Column | None = None) -> tuple[DataFrame, Callable[[], None]]:
     """Write ``df`` as a table in the shared folder and read it back: lineage is cut, a lost
     executor costs nothing already written, and the work is done once (checkpoint() would run
-    the plan twice). Also returns a function that deletes the table."""
+    the plan twice). Also returns a function that deletes the table. The table knows how many rows it
+    has (rows_of), counted while it was written, or for how many of them ``count`` is true."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/fleetmill-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows"), (F.count_if(count) if count is not None else F.lit(0)).alias("counted")).write.parquet(path)
     atexit.register(_drop_at_exit, spark, path)
-    return spark.read.schema(df.schema).parquet(path), lambda: drop_path(spark, path)
+    out = spark.read.schema(df.schema).parquet(path)
+    got = seen.get
+    if "rows" not in got:  # a plan that is known to be empty may be cut to nothing
+        got = {"rows": out.count(), "counted": out.where(count).count() if count is not None else 0}
+    out.written_rows, out.counted_rows = got["rows"], got["counted"]
+    return out, lambda: drop_path(spark, path)
+
+
+def rows_of(df: DataFrame) -> int:
+    """The rows of a table: known, if it was written here, else counted."""
+    known = getattr(df, "written_rows", None)
+    return df.count() if known is None else known
 
 
 class Tables:
@@ -114,7 +127,7 @@ def map_texts(df: DataFrame, rows: Callable[[dict[str, list]], dict[str, list]],
 def join_small(left: DataFrame, right: DataFrame, on: str | list[str], how: str, rows: int | None = None) -> DataFrame:
     """Join with a right side of few short rows: broadcast if it was counted below BROADCAST_ROWS,
     else an ordinary shuffle join."""
-    n = right.count() if rows is None else rows
+    n = rows_of(right) if rows is None else rows
     return left.join(F.broadcast(right) if n <= BROADCAST_ROWS else right, on, how)
 
 
@@ -124,8 +137,9 @@ HUB_ROWS, HUB_SHARE = 1000, 1000
 
 def hubs(rows: DataFrame, key: str) -> list:
     """Keys that a thousandth of all rows have: HUB_SHARE at most, whatever the table's size."""
-    least = max(HUB_ROWS, rows.count() // HUB_SHARE)
-    return [r[key] for r in rows.groupBy(key).count().where(F.col("count") >= least).select(key).collect()]
+    n = rows_of(rows)
+    least = max(HUB_ROWS, n // HUB_SHARE)
+    return [] if n < least else [r[key] for r in rows.groupBy(key).count().where(F.col("count") >= least).select(key).collect()]
 
 
 def join_hubs(rows: DataFrame, values: DataFrame, key: str, found: list) -> DataFrame:
@@ -137,12 +151,12 @@ def join_hubs(rows: DataFrame, values: DataFrame, key: str, found: list) -> Data
     return rows.where(~at_hub).join(values, key).unionByName(rows.where(at_hub).join(F.broadcast(values.where(at_hub)), key))
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
+def connected_components(edges: DataFrame, tables: Tables | None = None) -> DataFrame:
     """``edges(a, b)`` of longs, in any direction, repeats allowed -> ``(node, component)``, the
     smallest node reachable. Labels hook to the smallest neighbouring label, then jump to their
     label's label, so long chains halve each round. All state stays in DataFrames; each round's
-    labels are a written table. A hub's edges are not gathered, and minima are taken before rows are
-    shuffled."""
+    labels are a written table (the last one dropped with ``tables``). A hub's edges are not gathered,
+    and minima are taken before rows are shuffled."""
     both = edges.where("a <> b").select("a", "b").union(edges.where("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b")))
     both, drop_both = materialize(both.distinct())
     labels, drop = materialize(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("component")))
@@ -153,12 +167,14 @@ def connected_components(edges: DataFrame) -> DataFrame:
         new = labels.join(hooked, "node").select("node", F.least("component", "near").alias("low"), F.col("component").alias("was"))
         up = labels.select(F.col("node").alias("low"), F.col("component").alias("top"))
         new = new.join(up, "low").select("node", F.least("low", "top").alias("component"), "was")
-        new, drop_new = materialize(new)
-        changed = not new.where("component <> was").isEmpty()
+        new, drop_new = materialize(new, F.col("component") != F.col("was"))
         drop()
         labels, drop = new.select("node", "component"), drop_new
-        if not changed:
+        if not new.counted_rows:
             drop_both()
+            labels.written_rows = new.written_rows
+            if tables:
+                tables.drops.append(drop)
             return labels
 
 

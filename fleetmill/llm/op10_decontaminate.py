@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from fleetmill.llm.common import Tables, join_small, materialize, read
+from fleetmill.llm.common import Tables, join_small, materialize, read, rows_of
 
 WINDOW, PLAIN, THRESHOLD = 5, 3, 0.8
 UNITS = (
@@ -115,7 +115,7 @@ def keys_of(of_items: DataFrame, totals: DataFrame, threshold: float, letters: s
 def with_keys(docs: DataFrame, keys: DataFrame) -> DataFrame:
     """Rows whose text has one of the keys. Words that are all letters are the same in a text whether
     or not names and numbers are marked."""
-    n = keys.count()
+    n = rows_of(keys)
     if not n:
         return docs.limit(0)
     if not keys.where("key is null").isEmpty():

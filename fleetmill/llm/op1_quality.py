@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetmill.llm.common import join_small, map_texts, materialize, read
+from fleetmill.llm.common import Tables, join_small, map_texts, read
 
 SAMPLE = 12_000
 TREES, DEPTH, RATE, BINS, LASSO, STEPS = 60, 3, 0.3, 32, 0.0015, 400
@@ -166,10 +166,11 @@ def held_out() -> Column:
 
 def score_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
     """``(doc_id, held_out, score, predicted)`` of all ``docs(doc_id, text)``."""
-    stats, _ = materialize(text_statistics(docs))
+    tables = Tables()
+    stats = tables.put(text_statistics(docs))
     score = compile_score(*learn(stats, labels.where(~held_out()), sample))
     scored = stats.select("doc_id", held_out().alias("held_out"), score.alias("score"))
-    return scored.withColumn("predicted", F.when(F.col("score") >= threshold, 1).otherwise(0))
+    return tables.finish(scored.withColumn("predicted", F.when(F.col("score") >= threshold, 1).otherwise(0)))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

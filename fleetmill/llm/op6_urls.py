@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetmill.llm.common import Tables, hubs, join_hubs, join_small, materialize, read
+from fleetmill.llm.common import Tables, hubs, join_hubs, join_small, materialize, read, rows_of
 
 #: (verdict, host, path): fits the host and its subdomains if the path starts so; the longest wins.
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"))
@@ -74,15 +74,16 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, clos
     seeds = seeds.where("seed > 0")
     scores, drop = materialize(seeds.select("host", F.col("seed").alias("score")))
     found = hubs(shares, "src")
-    change = close if not shares.isEmpty() else 0.0
+    change = close if rows_of(shares) else 0.0
     while change >= close:
         flow = join_hubs(shares, scores.withColumnRenamed("host", "src"), "src", found).groupBy(F.col("dst").alias("host")).agg((damping * F.sum(F.col("part") * F.col("score"))).alias("flow"))
         new = seeds.join(flow, "host", "full_outer").select("host", (F.coalesce("seed", F.lit(0.0)) + F.coalesce("flow", F.lit(0.0))).alias("score"))
-        new, drop_new = materialize(new)
-        moved = F.max(F.abs(F.coalesce("score", F.lit(0.0)) - F.coalesce("old", F.lit(0.0))))
-        change = new.join(scores.withColumnRenamed("score", "old"), "host", "full_outer").agg(moved).first()[0] or 0.0
+        # whoever has a score keeps one, so none of the old scores is missed by the left join
+        moved = new.join(scores.withColumnRenamed("score", "old"), "host", "left").withColumn("move", F.abs(F.col("score") - F.coalesce("old", F.lit(0.0))))
+        new, drop_new = materialize(moved.select("host", "score", "move"), F.col("move") >= close)
+        change = close if new.counted_rows else 0.0
         drop()
-        scores, drop = new, drop_new
+        scores, drop = new.select("host", "score"), drop_new
     drop_shares()
     return scores
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from fleetmill.llm.common import free_names, map_texts, materialize, read
+from fleetmill.llm.common import Tables, free_names, map_texts, read
 
 CAPACITY = 2048
 #: Words whose ids a worker keeps.
@@ -220,8 +220,9 @@ def best_fit(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     spark = pieces.sparkSession
     pieces = pieces.drop("sequence_id", "offset")
     part, n, rank, before, first, end, bin_, each, place = free_names(pieces, "part", "n", "rank", "before", "first", "end", "bin", "each", "place")
-    at, _ = materialize(pieces.withColumn(part, F.spark_partition_id()))
-    counts, _ = materialize(at.groupBy("length", part).agg(F.count(F.lit(1)).alias(n)))
+    tables = Tables()
+    at = tables.put(pieces.withColumn(part, F.spark_partition_id()))
+    counts = tables.put(at.groupBy("length", part).agg(F.count(F.lit(1)).alias(n)))
     runs = plan({r["length"]: r[n] for r in counts.groupBy("length").agg(F.sum(n).alias(n)).collect()}, capacity)
     table = spark.createDataFrame(runs, f"length long, `{first}` long, `{end}` long, `{bin_}` long, `{each}` long, `{place}` long")
     ahead = F.sum(n).over(W.partitionBy("length").orderBy(part).rowsBetween(W.unboundedPreceding, -1))
@@ -234,7 +235,7 @@ def best_fit(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     placed = numbered.join(F.broadcast(table), fits, "left").withColumn(bin_, F.coalesce(bin_, F.raise_error(F.lit("a piece has no place")).cast("long")))
     step = F.col(rank) - F.col(first)
     where = {"sequence_id": F.col(bin_) + F.floor(step / F.col(each)).cast("long"), "offset": F.col(place) + step % F.col(each) * numbered["length"]}
-    return placed.select(*[numbered[c] for c in pieces.columns], *(c.alias(name) for name, c in where.items()))
+    return tables.finish(placed.select(*[numbered[c] for c in pieces.columns], *(c.alias(name) for name, c in where.items())))
 
 
 def pack(docs: DataFrame, tokenizer: str = "byte_bpe_50k", capacity: int = CAPACITY) -> DataFrame:
