@@ -38,6 +38,7 @@ has to fit a worker (8 bytes a shingle). Extra columns are not read.
 from __future__ import annotations
 
 from bisect import bisect_left
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -46,7 +47,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from fleetmill.llm.common import Tables, connected_components, join_small, map_texts, read
+from fleetmill.llm.common import Tables, connected_components, join_small, map_texts, read, rows_of
 from fleetmill.shipping import ship
 
 THRESHOLD = 90
@@ -92,27 +93,39 @@ def size_ranges(limit: int = 1 << 40) -> list[int]:
 TOPS = size_ranges()
 
 
-def segment_keys(tokens: np.ndarray, threshold: int = THRESHOLD) -> list[tuple[int, np.ndarray]]:
-    """For each size range that the set takes part in: how many of its keys it has to keep, and the
-    keys by which it meets all sets that it may link to."""
+def dealt(tokens: np.ndarray, threshold: int) -> Iterator[tuple[int, int, int, np.ndarray]]:
+    """For each size range that the set takes part in: the range, its segments, how many keys the set
+    has to keep there, and each shingle's segment."""
     n = len(tokens)
-    if not n:
-        return []
     first = bisect_left(TOPS, n)
-    out = []
-    for c in range(first, first + (2 if 100 * n >= threshold * (TOPS[first] + 1) else 1)):
+    for c in range(first, first + (2 if 100 * n >= threshold * (TOPS[first] + 1) else 1)) if n else ():
         differ = 2 * TOPS[c] * (100 - threshold) // (100 + threshold)
         segments = differ + 1 + (max(1, int((differ + 1) * SPARE)) if differ else 0)
-        at = (tokens >> np.uint64(20)) % np.uint64(segments)
+        need = (n + min(TOPS[c], 100 * n // threshold)) * (100 - threshold) // (100 + threshold) + 1
+        yield c, segments, need, ((tokens >> np.uint64(20)) % np.uint64(segments)).astype(np.int64)
+
+
+def key_counts(tokens: np.ndarray, threshold: int = THRESHOLD) -> list[tuple[int, int]]:
+    """For each size range how many of its keys the set has to keep, and how many it has: those of
+    its segments that are not empty if enough are, else all."""
+    out = []
+    for _, segments, need, at in dealt(tokens, threshold):
+        full = int(np.count_nonzero(np.bincount(at, minlength=segments)))
+        out.append((need, full) if full >= need else (segments, segments))
+    return out
+
+
+def segment_keys(tokens: np.ndarray, threshold: int = THRESHOLD) -> list[np.ndarray]:
+    """For each size range the keys by which the set meets all sets that it may link to."""
+    out = []
+    for c, segments, need, at in dealt(tokens, threshold):
         order = np.argsort(at, kind="stable")
-        counts = np.bincount(at.astype(np.int64), minlength=segments)
+        counts = np.bincount(at, minlength=segments)
         sums = np.zeros(segments, np.uint64)
         full = np.flatnonzero(counts)
         sums[full] = np.add.reduceat(mixed(tokens[order] + ODD[2]), (np.cumsum(counts) - counts)[full])
         keys = mixed(sums + np.arange(segments, dtype=np.uint64) * ODD[0] + np.full(segments, c, np.uint64) * ODD[3])
-        need = (n + min(TOPS[c], 100 * n // threshold)) * (100 - threshold) // (100 + threshold) + 1
-        # without its empty segments if enough remain, else all of them
-        out.append((need, keys[full]) if len(full) >= need else (segments, keys))
+        out.append(keys[full] if len(full) >= need else keys)
     return out
 
 
@@ -275,15 +288,62 @@ def _compare_first(threshold: int):
     return run
 
 
-def kept_keys(classes: DataFrame, tables: Tables) -> DataFrame:
-    """``classes(rep, ranges)`` -> ``(a, key)``: the keys that sets keep and share with another one."""
-    one = classes.select(F.col("rep").alias("a"), F.posexplode("ranges").alias("range", "r")).select("a", "range", "r.need", F.size("r.keys").alias("n_keys"), F.explode("r.keys").alias("key"))
-    # copies of one key in a partition meet before the shuffle, so a key of very many sets costs little
-    shared = tables.put(one.groupBy("key").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1"))
-    met = tables.put(join_small(one, shared, "key", "inner"))
-    of_set = W.partitionBy("a", "range")  # the keys of one set
-    ranked = met.withColumn("rank", F.rank().over(of_set.orderBy("sets"))).withColumn("met", F.count(F.lit(1)).over(of_set))
-    kept = tables.put(ranked.where(F.col("rank") <= F.col("need") - (F.col("n_keys") - F.col("met"))).select("a", "key").distinct())
+def digests(tokens: np.ndarray) -> tuple[int, int, int]:
+    """Two of a set, and an even number made of them that stands for it where keys are dealt. (Sets
+    that got the same number would only be compared in vain.)"""
+    if not len(tokens):
+        return 0, 0, 0
+    d1, d2 = tokens.sum(), mixed(tokens).sum()
+    pair = np.array([d1, d2], np.uint64)  # an array wraps around without a warning
+    both = mixed((pair * ODD[0])[1:] + pair[:1]) & ~np.uint64(1)
+    return int(d1.view(np.int64)), int(d2.view(np.int64)), int(both.view(np.int64)[0])
+
+
+def keys_of(texts: DataFrame, threshold: int, words: int) -> DataFrame:
+    """``(key, owner)`` of all keys; an owner is its set's number plus the place of the size range."""
+
+    def rows(cols: dict[str, list]) -> dict[str, list]:
+        keys, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for text in cols["text"]:
+            tokens = shingle_set(text, words)
+            number = digests(tokens)[2]
+            for k, own in enumerate(segment_keys(tokens, threshold)):
+                keys.append(own)
+                owners.append(np.full(len(own), number + k))
+        return {"key": np.concatenate(keys).view(np.int64), "owner": np.concatenate(owners)}
+
+    return map_texts(texts, rows, "key long, owner long")
+
+
+#: Keys are held to be very common if so many rows of one in SAMPLED of the documents have them.
+SAMPLED, COMMON = 64, 1000
+
+
+def kept_keys(texts: DataFrame, classes: DataFrame, threshold: int, words: int, tables: Tables) -> DataFrame:
+    """``(a, key, b)``: the keys that sets (named by their smallest doc_id) keep and share with
+    another one, and the first set that keeps each. Keys are dealt by a shuffle and counted there,
+    but for very common ones, which a fixed share of the documents tells: these are counted by a
+    map-side aggregation, so none is gathered, and either way gives the same."""
+    texts = texts.where("doc_id is not null and text is not null")
+    few = texts.where(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLED)) == 0)
+    common = tables.put(keys_of(few.select("text"), threshold, words).groupBy("key").count().where(F.col("count") >= COMMON).select("key"))
+    n_common = rows_of(common)
+    one = keys_of(texts.select("text"), threshold, words)
+    number = F.col("owner").bitwiseAND(-2)
+    counts = {"sets": F.count(F.lit(1)), "low": F.min(number), "high": F.max(number)}
+    of_key = W.partitionBy("key")
+    rest = join_small(one, common, "key", "left_anti", n_common) if n_common else one
+    met = rest.withColumns({name: c.over(of_key) for name, c in counts.items()}).where("low <> high")
+    if n_common:
+        hot = join_small(one, common, "key", "left_semi", n_common)
+        counted = tables.put(hot.groupBy("key").agg(*[c.alias(name) for name, c in counts.items()]).where("low <> high"))
+        met = met.unionByName(join_small(hot, counted, "key", "inner"), allowMissingColumns=True)
+    met = tables.put(met.select("key", "owner", "sets").distinct())
+    place = F.col("owner").bitwiseAND(1)
+    sized = met.withColumn("number", number).join(classes.select("number", F.col("rep").alias("a"), "ranges"), "number").withColumn("range", F.get("ranges", place.cast("int")))
+    of_set = W.partitionBy("a", "owner")  # the keys of one set
+    ranked = sized.withColumn("rank", F.rank().over(of_set.orderBy("sets"))).withColumn("met", F.count(F.lit(1)).over(of_set))
+    kept = tables.put(ranked.where(F.col("rank") <= F.col("range.need") - (F.col("range.n_keys") - F.col("met"))).select("a", "key").distinct())
     first = tables.put(kept.groupBy("key").agg(F.min("a").alias("b"), F.count(F.lit(1)).alias("sets")).where("sets > 1").drop("sets"))
     return tables.put(join_small(kept, first, "key", "inner"))
 
@@ -297,20 +357,18 @@ def jaccard_components(docs: DataFrame, threshold: int = THRESHOLD, words: int =
     tables = Tables()
 
     def hash_rows(cols: dict[str, list]) -> dict[str, list]:
-        sets = [shingle_set(t, words) for t in cols["text"]]
-        return {
-            "doc_id": cols["doc_id"],
-            "n": [len(s) for s in sets],
-            "d1": [int(s.sum().view(np.int64)) if len(s) else 0 for s in sets],
-            "d2": [int(mixed(s).sum().view(np.int64)) if len(s) else 0 for s in sets],
-            "ranges": [[{"need": need, "keys": keys.view(np.int64)} for need, keys in segment_keys(s, threshold)] for s in sets],
-        }
+        out: dict[str, list] = {k: [] for k in ("n", "d1", "d2", "number", "ranges")}
+        for text in cols["text"]:
+            tokens = shingle_set(text, words)
+            for name, value in zip(out, (len(tokens), *digests(tokens), [{"need": need, "n_keys": n} for need, n in key_counts(tokens, threshold)]), strict=True):
+                out[name].append(value)
+        return {"doc_id": cols["doc_id"], **out}
 
     texts = docs.select("doc_id", "text")
-    hashed = tables.put(map_texts(texts, hash_rows, "doc_id long, n long, d1 long, d2 long, ranges array<struct<need:int,keys:array<long>>>"))
+    hashed = tables.put(map_texts(texts, hash_rows, "doc_id long, n long, d1 long, d2 long, number long, ranges array<struct<need:int,n_keys:int>>"))
     digest = ["n", "d1", "d2"]
-    classes = tables.put(hashed.where("n > 0 and doc_id is not null").groupBy(*digest).agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("ranges").alias("ranges")))
-    meeting = kept_keys(classes, tables)
+    classes = tables.put(hashed.where("n > 0 and doc_id is not null").groupBy(*digest).agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("number").alias("number"), F.first("ranges").alias("ranges")))
+    meeting = kept_keys(texts, classes, threshold, words, tables)
     stars = tables.put(meeting.where("a <> b").select("a", "b").distinct())
 
     def with_sets(rows: DataFrame, schema: str, total: int) -> DataFrame:
@@ -329,34 +387,34 @@ def jaccard_components(docs: DataFrame, threshold: int = THRESHOLD, words: int =
     known = None
     if not links:
         ends = tables.put(stars.select(F.col("a").alias("node")).union(stars.select(F.col("b").alias("node"))).distinct().join(slim, "node"))
-        sets = tables.put(with_sets(ends, "node long, d1 long", ends.count()))
+        sets = tables.put(with_sets(ends, "node long, d1 long", rows_of(ends)))
         # a first set stands in as many parts as its key's other sets need, of about TOKENS shingles each
         spokes = stars.select(F.col("b").alias("first"), F.col("a").alias("node")).join(ends.select("node", "n"), "node")
         parts = spokes.groupBy("first").agg(F.ceil(F.sum("n") / TOKENS).cast("long").alias("parts"), F.sum("n").alias("size"))
         parts = tables.put(parts)
         groups = max(1, (parts.agg(F.sum("size")).first()[0] or 0) // TOKENS)
         group = F.when(F.col("parts") == 1, F.pmod(F.xxhash64("first"), F.lit(groups))).otherwise(F.xxhash64("first", "part"))
-        dealt = spokes.select("first", "node").join(parts, "first").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
+        parted = spokes.select("first", "node").join(parts, "first").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
         own = parts.select("first", F.col("first").alias("node"), "parts", "size", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
-        rows = dealt.select("first", "node", "parts", "part").unionByName(own.select("first", "node", "parts", "part")).withColumn("group", group)
+        rows = parted.select("first", "node", "parts", "part").unionByName(own.select("first", "node", "parts", "part")).withColumn("group", group)
         checked = rows.join(sets, "node").groupBy("group", F.when(F.col("parts") > 1, F.struct("first", "part"))).applyInPandas(_compare_first(threshold), "a long, b long")
-        known = tables.put(connected_components(tables.put(checked)))
+        known = connected_components(tables.put(checked), tables)
         # what is not yet joined: keys whose sets are of several groups
         of_known = lambda c: F.coalesce("component", c)
-        labelled = tables.put(meeting.join(known.withColumnRenamed("node", "a"), "a", "left").select("a", "key", of_known("a").alias("label")))
+        labelled = tables.put(join_small(meeting, known.withColumnRenamed("node", "a"), "a", "left", rows_of(known)).select("a", "key", of_known("a").alias("label")))
         several = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
         open_keys = tables.put(join_small(labelled, tables.put(several.select("key", "low")), "key", "inner"))
-        blocks = connected_components(open_keys.select(F.col("label").alias("a"), F.col("low").alias("b")).distinct())
+        blocks = connected_components(open_keys.select(F.col("label").alias("a"), F.col("low").alias("b")).distinct(), tables)
         nodes = open_keys.select(F.col("a").alias("node"), F.col("label").alias("known")).distinct()
         members = slim.join(nodes, "node").join(blocks.withColumnRenamed("node", "known"), "known")
     else:
-        members = slim.join(connected_components(stars), "node").withColumn("known", F.col("node"))
+        members = slim.join(connected_components(stars, tables), "node").withColumn("known", F.col("node"))
 
     sizes = tables.put(members.groupBy("component").agg(F.sum("n").alias("size")))
     members = members.join(sizes, "component").withColumn("parts", F.ceil(F.col("size") / TOKENS).cast("long"))
     members = members.withColumn("sub", F.pmod(F.xxhash64("node"), F.col("parts")))
     members = tables.put(members.select("component", "node", "known", "n", "d1", "copies", "parts", "sub"))
-    total, shingles = members.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    total, shingles = rows_of(members), sizes.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     sets = with_sets(members, "component long, node long, known long, d1 long, copies long, parts long, sub long", total)
     pairs = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     pairs = pairs.withColumns({"low": F.least("sub", "other"), "high": F.greatest("sub", "other")})
@@ -368,10 +426,10 @@ def jaccard_components(docs: DataFrame, threshold: int = THRESHOLD, words: int =
     found_edges = joined.select(F.col("node").alias("a"), F.col("root").alias("b"))
     if known is not None:
         found_edges = found_edges.unionByName(known.select(F.col("node").alias("a"), F.col("component").alias("b")))
-    found = connected_components(found_edges)
+    found = connected_components(found_edges, tables)
     degrees = joined.groupBy("node").agg(F.sum("degree").alias("degree"))
-    of_class = classes.drop("ranges").join(found.withColumnRenamed("node", "rep"), "rep", "left").join(degrees.withColumnRenamed("node", "rep"), "rep", "left")
-    out = hashed.drop("ranges").join(of_class, digest, "left")
+    of_class = classes.drop("ranges", "number").join(found.withColumnRenamed("node", "rep"), "rep", "left").join(degrees.withColumnRenamed("node", "rep"), "rep", "left")
+    out = hashed.drop("ranges", "number").join(of_class, digest, "left")
     alone = (F.col("n") == 0) | F.col("doc_id").isNull()
     columns = {
         "doc_id": F.col("doc_id"),

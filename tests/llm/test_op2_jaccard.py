@@ -101,7 +101,8 @@ def test_linked_sets_share_a_kept_key():
             sets = [base]
             for drop in range(0, n * (100 - percent) // 100 + 1, max(1, n // 40)):
                 sets += [base[drop:], np.unique(np.concatenate([base[drop:], rng.integers(0, 2**63, drop).astype(np.uint64)])), np.unique(np.concatenate([base[: n // 3], rng.integers(0, 2**63, n - n // 3).astype(np.uint64)]))]
-            keys = [j.segment_keys(s, percent) for s in sets]
+            keys = [list(zip([need for need, _ in j.key_counts(s, percent)], j.segment_keys(s, percent), strict=True)) for s in sets]
+            assert all([len(k) for k in j.segment_keys(s, percent)] == [n for _, n in j.key_counts(s, percent)] for s in sets)
             seen = Counter(k for of in keys for _, ks in of for k in ks.tolist())
             kept = []
             for of in keys:
