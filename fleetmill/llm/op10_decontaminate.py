@@ -108,7 +108,7 @@ def keys_of(of_items: DataFrame, totals: DataFrame, threshold: float, letters: s
     one = of_items.groupBy("item_id", "window").agg(F.max(longest).alias("key")).join(totals, "item_id")
     rank = F.row_number().over(W.partitionBy("item_id").orderBy(F.desc_nulls_last("key.n"), "key.a", "key.b", "window"))
     needed = one.withColumn("rank", rank).where(F.col("rank") <= F.col("n_windows") - F.ceil(threshold * F.col("n_windows")) + 1)
-    pair = F.xxhash64(F.xxhash64(folded(F.col("key.a"))), F.xxhash64(folded(F.col("key.b"))))
+    pair = F.xxhash64(folded(F.col("key.a")), folded(F.col("key.b")))
     return needed.select(F.when(F.col("key").isNotNull(), pair).alias("key")).distinct()
 
 
@@ -120,9 +120,9 @@ def with_keys(docs: DataFrame, keys: DataFrame) -> DataFrame:
         return docs.limit(0)
     if not keys.where("key is null").isEmpty():
         return docs
-    hashed = docs.where("doc_id is not null and text is not null").select("doc_id", F.transform(plain_words(F.col("text")), lambda w: F.xxhash64(w)).alias("h")).where(F.size("h") >= WINDOW)
-    # each key of a document once: one row a word, but only of those that match goes on
-    pairs = hashed.select("doc_id", F.explode(F.zip_with(F.slice("h", F.lit(1), F.size("h") - 1), F.slice("h", F.lit(2), F.size("h") - 1), lambda a, b: F.xxhash64(a, b))).alias("key"))
+    words = docs.where("doc_id is not null and text is not null").select("doc_id", F.split(folded(F.col("text")), r"[^\p{L}\p{M}\p{N}_]+").alias("w"))
+    # one row a word, but only those that match go on; the last word has none beside it, which matches nothing
+    pairs = words.select("doc_id", F.explode(F.zip_with("w", F.slice("w", F.lit(2), F.size("w")), lambda a, b: F.xxhash64(a, b))).alias("key"))
     found, _ = materialize(join_small(pairs, keys, "key", "left_semi", n).select("doc_id").distinct())
     return join_small(docs, found, "doc_id", "left_semi")
 
@@ -138,8 +138,9 @@ def agreeing(values: Column) -> Column:
 def short_items(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Documents that consist of the words of an item of one to four."""
     words = lambda df, key: df.where(F.col(key).isNotNull() & F.col("text").isNotNull()).select(key, plain_words(F.col("text")).alias("t")).where(F.size("t").between(1, WINDOW - 1)).select(key, F.concat_ws(" ", "t").alias("t"))
-    own = words(items, "item_id").distinct()
-    return join_small(words(docs, "doc_id"), own, "t", "inner").select("doc_id", "item_id", *[F.lit(n).cast("long").alias(c) for c, n in (("n_windows", 1), ("n_found", 1), ("n_slots", 0), ("n_agree", 0))])
+    own, _ = materialize(words(items, "item_id").distinct())
+    held = words(docs, "doc_id") if rows_of(own) else words(docs.limit(0), "doc_id")  # mostly there are no such items
+    return join_small(held, own, "t", "inner").select("doc_id", "item_id", *[F.lit(n).cast("long").alias(c) for c, n in (("n_windows", 1), ("n_found", 1), ("n_slots", 0), ("n_agree", 0))])
 
 
 def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -152,7 +153,8 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
     plain_of_items = tables.put(plain_windows(items, "item_id", "text", with_words=True))
     plain_totals = plain_of_items.groupBy("item_id").agg(F.count_distinct("window").alias("n_windows"))
     keys = keys_of(of_items, totals, threshold, r"^\p{L}+$").union(keys_of(plain_of_items, plain_totals, threshold, ""))
-    searched = with_keys(docs, tables.put(keys.distinct()))
+    # written, so that nothing is done to the texts of the others
+    searched = tables.put(with_keys(docs, tables.put(keys.distinct())))
     hits = join_small(windows(searched, "doc_id", "text"), of_items.drop("words"), "window", "inner")
     per_shift = hits.groupBy("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).agg(F.count(F.lit(1)).alias("n"), F.collect_set("window").alias("found"))
     # sets of one item's windows: bounded by the item's length
