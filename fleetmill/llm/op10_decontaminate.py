@@ -209,7 +209,7 @@ cand AS (SELECT * FROM cov JOIN best USING (doc_id, item_id) JOIN total USING (i
 aligned AS (SELECT c.*, d.w AS dw, i.w AS iw, unnest(range(1, len(i.w) + 1)) AS q FROM cand c JOIN t d ON d.k = 'd' AND d.id = c.doc_id JOIN t i ON i.k = 'i' AND i.id = c.item_id),
 pair AS (SELECT *, iw[q] AS a, CASE WHEN q + shift >= 1 THEN dw[q + shift] END AS b,
   (q > 1 AND q - 1 + shift >= 1 AND coalesce(iw[q - 1] = dw[q - 1 + shift], false)) OR (q + 1 + shift >= 1 AND coalesce(iw[q + 1] = dw[q + 1 + shift], false)) AS beside FROM aligned),
-slot AS (SELECT *, beside AND b IS NOT NULL AND coalesce({_KIND.format("a")} = {_KIND.format("b")}, false) AS is_slot FROM pair)
+slot AS (SELECT *, beside AND b IS NOT NULL AND coalesce({_KIND.format("a")} = {_KIND.format("b")}, false) AS is_slot FROM pair),
 agree AS (SELECT doc_id, item_id, sum(m) AS n_agree FROM (SELECT doc_id, item_id, max(n) AS m FROM (SELECT doc_id, item_id, a, b, count(*) AS n FROM slot WHERE is_slot GROUP BY ALL) GROUP BY doc_id, item_id, a) GROUP BY ALL),
 templates AS (SELECT doc_id, item_id, max(n_windows) AS n_windows, max(n_found) AS n_found, count(*) FILTER (is_slot) AS n_slots, coalesce(max(n_agree), 0) AS n_agree FROM slot LEFT JOIN agree USING (doc_id, item_id) GROUP BY ALL
   HAVING 2 * coalesce(max(n_agree), 0) >= count(*) FILTER (is_slot)),
@@ -218,6 +218,6 @@ pg AS (SELECT DISTINCT k, id, w[p:p + 4] AS x FROM (SELECT k, id, w, unnest(rang
 plain AS (SELECT d.id AS doc_id, i.id AS item_id, max(n) AS n_windows, count(*) AS n_found FROM pg d JOIN pg i ON d.x = i.x JOIN (SELECT id, count(*) AS n FROM pg WHERE k = 'i' GROUP BY 1) t ON t.id = i.id
   WHERE d.k = 'd' AND i.k = 'i' GROUP BY 1, 2 HAVING count(*) >= 0.8 * max(n)),
 short AS (SELECT DISTINCT d.id AS doc_id, i.id AS item_id FROM pw d JOIN pw i ON d.w = i.w WHERE d.k = 'd' AND i.k = 'i' AND len(i.w) BETWEEN 1 AND 4),
-both AS (SELECT *, 0 AS p FROM templates UNION ALL SELECT doc_id, item_id, n_windows, n_found, 0, 0, 1 FROM plain UNION ALL SELECT doc_id, item_id, 1, 1, 0, 0, 1 FROM short)
-SELECT doc_id, item_id, n_windows::BIGINT AS n_windows, n_found::BIGINT AS n_found, n_slots::BIGINT AS n_slots, n_agree::BIGINT AS n_agree FROM both QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY p) = 1
+held AS (SELECT *, 0 AS p FROM templates UNION ALL SELECT doc_id, item_id, n_windows, n_found, 0, 0, 1 FROM plain UNION ALL SELECT doc_id, item_id, 1, 1, 0, 0, 1 FROM short)
+SELECT doc_id, item_id, n_windows::BIGINT AS n_windows, n_found::BIGINT AS n_found, n_slots::BIGINT AS n_slots, n_agree::BIGINT AS n_agree FROM held QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY p) = 1
 """
