@@ -38,7 +38,7 @@ has to fit a worker (8 bytes a shingle). Extra columns are not read.
 from __future__ import annotations
 
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -53,7 +53,7 @@ from fleetmill.shipping import ship
 THRESHOLD = 90
 WORDS = 3
 #: Shingles in a block of a large component, and about as many in a group of small ones.
-TOKENS = 1 << 20
+TOKENS = 1 << 17
 LEAF, FANOUT = 16, 4
 #: Segments beyond k + 1, as a share of it: so many of the commonest need not be kept.
 SPARE = 0.25
@@ -202,9 +202,11 @@ class Groups:
         return all(self.top(i) == first for i in rows)
 
 
-def join_trees(sets: list[np.ndarray], left: list[int], right: list[int] | None = None, threshold: int = THRESHOLD, groups: Groups | None = None) -> list[tuple[int, int]]:
+def join_trees(sets: list[np.ndarray], left: list[int], right: list[int] | None = None, threshold: int = THRESHOLD, groups: Groups | None = None, take: Callable[[list[tuple[int, int]]], None] | None = None) -> list[tuple[int, int]]:
     """All linked pairs between ``left`` and ``right``, or inside ``left`` if there is no right. With
-    ``groups``, links join these, and leaves that are already of one group are not compared."""
+    ``groups``, links join these, and leaves that are already of one group are not compared. With
+    ``take``, each two leaves' links go there at once and none are returned: a group of alike sets
+    has as many as pairs."""
     if not left or right == []:
         return []
     largest = max((len(sets[i]) for i in left + (right or [])), default=0)
@@ -221,7 +223,10 @@ def join_trees(sets: list[np.ndarray], left: list[int], right: list[int] | None
         if x.members and y.members:
             if groups is None or not groups.one(x.members + y.members):
                 links = compare(sets, x.members, y.members, threshold)
-                found += links
+                if take:
+                    take(links)
+                else:
+                    found += links
                 for i, j in links if groups is not None else ():
                     groups.join(i, j)
         elif x is y:
@@ -253,17 +258,19 @@ def _join_block(threshold: int, counting: bool):
             for i in rows[1:].tolist():
                 groups.join(int(rows[0]), i)
         own = None if counting else groups
-        links: list[tuple[int, int]] = []
+        degree = [0] * len(nodes)
+
+        def take(links: list[tuple[int, int]]) -> None:
+            for i, j in links:
+                degree[i] += copies[j]
+                degree[j] += copies[i]
+                groups.join(i, j)
+
         if low == high:
             for rows in pdf.groupby("component").indices.values():
-                links += join_trees(sets, rows.tolist(), None, threshold, own)
+                join_trees(sets, rows.tolist(), None, threshold, own, take)
         else:
-            links = join_trees(sets, [i for i, s in enumerate(subs) if s == low], [i for i, s in enumerate(subs) if s == high], threshold, own)
-        degree = [0] * len(nodes)
-        for i, j in links:
-            degree[i] += copies[j]
-            degree[j] += copies[i]
-            groups.join(i, j)
+            join_trees(sets, [i for i, s in enumerate(subs) if s == low], [i for i, s in enumerate(subs) if s == high], threshold, own, take)
         return pd.DataFrame({"node": nodes, "root": [nodes[groups.top(i)] for i in range(len(nodes))], "degree": degree})
 
     return run
